@@ -116,7 +116,9 @@ def _joined(spark: SparkSession, sf_dir: str, needs: set[str]) -> DataFrame:
         documents = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("doc_text"))
         n_documents = documents.agg(F.count(F.lit(1))).scalar()
         keyed = rows.withColumn("doc_key", F.expr("l_orderkey * 8 + l_linenumber") % n_documents)
-        rows = keyed.join(documents, F.col("doc_key") == F.col("doc_id"), "left")
+        # This join widens a row from tens of bytes to kilobytes, so the still narrow
+        # rows are spread evenly first; otherwise few scan splits carry all the text.
+        rows = keyed.hint("rebalance").join(documents, F.col("doc_key") == F.col("doc_id"), "left")
     return rows
 
 
