@@ -5,7 +5,7 @@ Models and their metrics have no SQL form; ``tests/`` check their invariants.
 
 from __future__ import annotations
 
-from opinara.sources.star import RAW_COLUMNS, REVIEW_COLUMNS
+from opinara.sources.star import ALL_COLUMNS, RAW_COLUMNS, REVIEW_COLUMNS, WORD_COLUMNS
 
 # Spark's English stop words.
 ENGLISH_STOP_WORDS = """
@@ -44,7 +44,10 @@ with joined as (
     on d.doc_id = (l.l_orderkey * 8 + l.l_linenumber) % (select count(*) from documents)
 )"""
 _REVIEW_SELECT = ", ".join(f"{sql} as {name}" for name, (sql, _) in REVIEW_COLUMNS.items())
-_REVIEWS = f"{_JOINED}, reviews as (select l_orderkey, l_linenumber, {_REVIEW_SELECT} from joined)"
+_WORD_SELECT = ", ".join(f"{sql} as {name}" for name, (sql, _) in WORD_COLUMNS.items())
+_REVIEWS = f"""{_JOINED},
+texts as (select l_orderkey, l_linenumber, {_REVIEW_SELECT} from joined),
+reviews as (select *, {_WORD_SELECT} from texts)"""
 
 ORACLES: dict[str, str] = {}
 
@@ -114,7 +117,7 @@ def _preview(columns: list[str]) -> str:
 
 
 check("review_preview", _preview(["entity", "score", "segment", "pos_text", "neg_text"]))
-check("review_preview_all_columns", _preview(list(REVIEW_COLUMNS)))
+check("review_preview_all_columns", _preview(list(ALL_COLUMNS)))
 
 # --- segments ---------------------------------------------------------------
 

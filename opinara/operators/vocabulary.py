@@ -9,21 +9,19 @@ from pyspark.sql import functions as F
 def term_statistics(tokens: DataFrame, column: str = "tokens") -> DataFrame:
     """Occurrences and document frequency of every term.
 
-    One pass: each text emits its tokens as occurrences and its distinct tokens as
-    document hits; both are summed before the shuffle, so a term found in every
-    text still sends one row per task.
+    One pass: each text is unfolded into its tokens and its distinct tokens, and
+    both are counted before the shuffle, so a term found in every text still sends
+    one row per task.
     """
-    occurrences = F.transform(
-        column, lambda t: F.struct(t.alias("term"), F.lit(1).alias("seen"), F.lit(0).alias("doc"))
-    )
-    documents = F.transform(
-        F.array_distinct(column),
-        lambda t: F.struct(t.alias("term"), F.lit(0).alias("seen"), F.lit(1).alias("doc")),
+    halves = F.array(
+        F.struct(F.col(column).alias("terms"), F.lit(False).alias("once")),
+        F.struct(F.array_distinct(column).alias("terms"), F.lit(True).alias("once")),
     )
     return (
-        tokens.select(F.inline(F.concat(occurrences, documents)))
+        tokens.select(F.inline(halves))
+        .select("once", F.explode("terms").alias("term"))
         .groupBy("term")
-        .agg(F.sum("seen").alias("term_count"), F.sum("doc").alias("doc_freq"))
+        .agg(F.count_if(~F.col("once")).alias("term_count"), F.count_if("once").alias("doc_freq"))
     )
 
 

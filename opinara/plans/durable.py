@@ -25,7 +25,12 @@ def _use_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can read")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The same rows read back from reliable storage, with the lineage cut."""
+def durable(df: DataFrame, spread: bool = False) -> DataFrame:
+    """The same rows read back from reliable storage, with the lineage cut.
+
+    ``spread`` evens out the partitions first.  Vectors are far smaller than the
+    texts they come from, and every iteration of a fit pays for each partition,
+    so adaptive execution sizes them by what is stored rather than by the scan.
+    """
     _use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df.hint("rebalance") if spread else df).checkpoint(eager=True)

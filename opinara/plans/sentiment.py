@@ -110,7 +110,7 @@ def train_sentiment(
         [row.term for row in words], inputCol="tokens", outputCol="counts"
     )
     counts = PipelineModel([tokenizer, remover, counter]).transform(train)
-    stored = durable(counts.select("label", "counts"))
+    stored = durable(counts.select("label", "counts"), spread=True)
 
     idf = IDF(inputCol="counts", outputCol="features").fit(stored)
     classifier = LogisticRegression(maxIter=max_iter, regParam=reg_param).fit(idf.transform(stored))

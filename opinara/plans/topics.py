@@ -183,7 +183,8 @@ def fit_topics(
     n_tokens = sum(row.term_count for row in rows)
 
     counter = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="features")
-    vectors = durable(counter.transform(tokens).select("features")).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = counter.transform(tokens).select("features")
+    vectors = durable(counts, spread=True).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed).fit(vectors)
         n_texts = vectors.count()

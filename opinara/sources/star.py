@@ -48,17 +48,20 @@ REVIEW_COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
         (),
     ),
 }
-# Word counts read the two texts, so they are built from their expressions.
-for _side, _text, _sentinel in (
-    ("neg_words", "neg_text", "No Negative"),
-    ("pos_words", "pos_text", "No Positive"),
-):
-    _expr, _needs = REVIEW_COLUMNS[_text]
-    REVIEW_COLUMNS[_side] = (
-        f"case when ({_expr}) = '{_sentinel}' then 0"
-        f" else length({_expr}) - length(replace({_expr}, ' ', '')) + 1 end",
-        _needs,
-    )
+#: Columns read off the review table itself, in a second step so that each text is built once.
+WORD_COLUMNS: dict[str, tuple[str, str]] = {
+    "neg_words": (
+        "case when neg_text = 'No Negative' then 0"
+        " else length(neg_text) - length(replace(neg_text, ' ', '')) + 1 end",
+        "neg_text",
+    ),
+    "pos_words": (
+        "case when pos_text = 'No Positive' then 0"
+        " else length(pos_text) - length(replace(pos_text, ' ', '')) + 1 end",
+        "pos_text",
+    ),
+}
+ALL_COLUMNS = (*REVIEW_COLUMNS, *WORD_COLUMNS)
 
 #: The same table as untyped text with holes, for the cleaning operators.
 RAW_COLUMNS: dict[str, str] = {
@@ -125,19 +128,24 @@ def _joined(spark: SparkSession, sf_dir: str, needs: set[str]) -> DataFrame:
 def reviews(
     spark: SparkSession,
     sf_dir: str,
-    columns: Sequence[str] = tuple(REVIEW_COLUMNS),
+    columns: Sequence[str] = ALL_COLUMNS,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """The review table, joining only what the asked-for columns need."""
-    needs = {need for name in columns for need in REVIEW_COLUMNS[name][1]}
-    shown = [F.expr(REVIEW_COLUMNS[name][0]).alias(name) for name in columns]
-    return _joined(spark, sf_dir, needs).select(*keep, *shown)
+    counted = [name for name in columns if name in WORD_COLUMNS]
+    base = [name for name in columns if name in REVIEW_COLUMNS]
+    base += [WORD_COLUMNS[name][1] for name in counted if WORD_COLUMNS[name][1] not in base]
+    needs = {need for name in base for need in REVIEW_COLUMNS[name][1]}
+    rows = _joined(spark, sf_dir, needs).select(
+        *keep, *(F.expr(REVIEW_COLUMNS[name][0]).alias(name) for name in base)
+    )
+    words = {name: F.expr(WORD_COLUMNS[name][0]) for name in counted}
+    return rows.withColumns(words).select(*keep, *columns) if words else rows
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The review table as it might arrive: text columns, NA tokens, junk, holes."""
-    source = [name for name in REVIEW_COLUMNS if not name.endswith("_words")]
-    rows = reviews(spark, sf_dir, source, keep=("l_orderkey", "l_linenumber"))
+    rows = reviews(spark, sf_dir, tuple(REVIEW_COLUMNS), keep=("l_orderkey", "l_linenumber"))
     return rows.select(*(F.expr(sql).alias(name) for name, sql in RAW_COLUMNS.items()))
 
 

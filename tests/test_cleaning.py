@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import csv
+
+import pytest
+
+from opinara.operators.cleaning import CleaningRules, clean_reviews, cleaning_report, judge_reviews
+from opinara.roles import as_reviews
+from opinara.sources.csv import RAW_CSV_SCHEMA, read_hotel_csv
+
+GOOD = {
+    "entity": "Hotel", "event_date": "8/3/2017", "neg_text": "cold", "pos_text": "warm", "lat": "52.1",
+    "lng": "4.9", "prior_score": "8.1", "total_reviews": "120", "score": "7.5", "segment": " Italy ",
+}
+SCHEMA = ", ".join(f"{name} string" for name in GOOD)
+
+
+def raw(frame, **changes):
+    return frame([tuple({**GOOD, **changes}.values())], SCHEMA)
+
+
+@pytest.mark.parametrize(
+    "changes, outcome",
+    [
+        ({}, "kept"),
+        ({"entity": None}, "missing entity"),
+        ({"entity": ""}, "missing entity"),
+        ({"neg_text": "NA"}, "missing neg_text"),
+        ({"neg_text": " NA"}, "kept"),
+        ({"pos_text": None}, "missing pos_text"),
+        ({"event_date": None}, "missing event_date"),
+        ({"lat": "NA"}, "unusable lat"),
+        ({"lat": " NA"}, "unusable lat"),
+        ({"lat": "north"}, "unusable lat"),
+        ({"lng": "NaN"}, "unusable lng"),
+        ({"prior_score": None}, "unusable prior_score"),
+        ({"score": "NA"}, "kept"),
+        ({"score": "x"}, "kept"),
+        ({"entity": "", "lat": "NA"}, "missing entity"),
+    ],
+)
+def test_outcomes(frame, changes, outcome):
+    assert judge_reviews(raw(frame, **changes)).first().outcome == outcome
+    kept = clean_reviews(raw(frame, **changes)).count()
+    assert kept == (outcome == "kept")
+
+
+def test_types_after_cleaning(frame):
+    row = clean_reviews(raw(frame, total_reviews="12.0", score="bad", segment="NA")).first()
+    assert row.lat == 52.1 and row.prior_score == 8.1
+    assert row.total_reviews == 12 and row.score is None and row.segment is None
+
+
+def test_na_text_can_stay_as_null(frame):
+    row = clean_reviews(raw(frame, neg_text="NA"), CleaningRules(na_text_stays=True)).first()
+    assert row.neg_text is None
+
+
+def test_report_covers_every_row(frame):
+    df = raw(frame).unionByName(raw(frame, lat="NA")).unionByName(raw(frame, lat="NA"))
+    assert {r.outcome: r.n for r in cleaning_report(df).collect()} == {"kept": 1, "unusable lat": 2}
+
+
+def test_numbers_that_are_numbers_already(frame):
+    df = frame(
+        [("h", "d", "n", "p", 1.0, 2.0, 8.0, 5, 7.0), ("h", "d", "n", "p", float("nan"), 2.0, 8.0, 5, 7.0)],
+        "entity string, event_date string, neg_text string, pos_text string, lat double, lng double,"
+        " prior_score double, total_reviews int, score double",
+    )
+    assert clean_reviews(df).count() == 1
+
+
+def test_csv_with_declared_schema(spark, tmp_path):
+    names = RAW_CSV_SCHEMA.fieldNames()
+    base = dict.fromkeys(names, "1") | {
+        "Hotel_Name": "Arena", "Review_Date": "8/3/2017", "Negative_Review": "small, dark\nroom",
+        "Positive_Review": "park", "lat": "52.3", "lng": "4.9", "Average_Score": "7.7",
+        "Reviewer_Score": "2.9", "Reviewer_Nationality": " Russia ", "Tags": "[' Couple ']",
+        "Review_Total_Negative_Word_Counts": "3",
+    }
+    lines = [base, base | {"lat": "NA"}, base | {"Hotel_Name": ""}, base | {"Reviewer_Score": "NA"}]
+    path = tmp_path / "reviews.csv"
+    with path.open("w", newline="") as out:
+        writer = csv.DictWriter(out, names)
+        writer.writeheader()
+        writer.writerows(lines)
+    df = read_hotel_csv(spark, str(path), multiLine="true")
+    found = df.orderBy("score").collect()
+    assert [r.score for r in found] == [None, 2.9]
+    assert found[1].neg_text == "small, dark\nroom" and found[1].neg_words == 3
+    assert found[1].segment == " Russia " and "Hotel_Address" in df.columns
+
+
+def test_role_names_are_checked(frame):
+    with pytest.raises(ValueError):
+        as_reviews(raw(frame), {"stars": "score"})
