@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,3 +83,26 @@ def keyword_verdict(impact: DataFrame) -> DataFrame:
         .filter(diff.isNotNull())
         .withColumn("verdict", first_match([(diff < -strong, "strong"), (diff < 0, "mild")], "none"))
     )
+
+
+@dataclass(frozen=True)
+class KeywordReport:
+    impact: DataFrame
+    frequency: DataFrame
+    samples: DataFrame
+    verdict: DataFrame
+
+
+def keyword_report(reviews: DataFrame, pattern: str = BUILDING_WORKS, sample_size: int = 5) -> KeywordReport:
+    """All keyword tables of one pattern.
+
+    They are separate plans over ``reviews``.  Where building that table is dear,
+    persist its ``entity, score, neg_text`` columns before and release them after.
+    """
+    impact = keyword_impact(reviews, pattern)
+    return KeywordReport(
+        impact,
+        keyword_frequency(reviews, pattern),
+        keyword_samples(reviews, pattern, sample_size),
+        keyword_verdict(impact),
+    )

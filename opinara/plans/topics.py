@@ -25,12 +25,17 @@ SMALL_CORPUS = 300
 LOW_STABILITY = 0.35
 MEDIUM_STABILITY = 0.55
 
+TERM_SCHEMA = "topic int, rank int, term string, weight double, rel_weight double, label string"
+
 
 @dataclass(frozen=True)
 class Topics:
-    """``terms`` and ``fit`` describe the main model; ``stability`` compares it with a reseeded one."""
+    """``terms`` and ``fit`` describe the main model; ``stability`` compares it with a reseeded one.
+
+    A corpus without a word that is frequent enough has no model and no terms.
+    """
 
-    model: LDAModel
+    model: LDAModel | None
     vocabulary: list[str]
     terms: DataFrame
     fit: DataFrame
@@ -139,9 +144,7 @@ def match_topics(main: DataFrame, alternative: DataFrame) -> DataFrame:
     matched = F.aggregate("candidates", F.slice("candidates", 1, 0), keep)
     return (
         listed.select(matched.alias("matched"))
-        .select(
-            F.inline("matched"),
-        )
+        .select(F.inline("matched"))
         .drop("order")
     )
 
@@ -175,10 +178,11 @@ def fit_topics(
     tokenises again.
     """
     spark = reviews.sparkSession
-    tokens = topic_tokens(topic_corpus(reviews, min_chars, sentinel), extra_stop_words)
+    corpus = topic_corpus(reviews, min_chars, sentinel)
+    tokens = topic_tokens(corpus, extra_stop_words)
     rows = vocabulary(tokens, min_df, vocab_size).orderBy("idx").collect()
     if not rows:
-        raise ValueError(f"no word occurs in {min_df} texts")
+        return Topics(None, [], spark.createDataFrame([], TERM_SCHEMA), _fit_table(spark, corpus.count()), None)
     words = [row.term for row in rows]
     n_tokens = sum(row.term_count for row in rows)
 
@@ -196,14 +200,16 @@ def fit_topics(
             stability = stability_report(match_topics(described, topic_table(other, words, top_terms)))
     finally:
         vectors.unpersist()
-    return Topics(
-        model, words, topic_terms(described), _fit_table(spark, n_texts, n_tokens, len(words), likelihood), stability
-    )
+    quality = _fit_table(spark, n_texts, len(words), n_tokens, likelihood)
+    return Topics(model, words, topic_terms(described), quality, stability)
 
 
-def _fit_table(spark: SparkSession, n_texts: int, n_tokens: int, n_words: int, likelihood: float) -> DataFrame:
+def _fit_table(
+    spark: SparkSession, n_texts: int, n_words: int = 0, n_tokens: int = 0, likelihood: float | None = None
+) -> DataFrame:
     """One row of quality figures; perplexity per token follows from the likelihood."""
-    row = [(n_texts, n_words, n_tokens, likelihood, -likelihood / n_tokens)]
+    perplexity = None if likelihood is None else -likelihood / n_tokens
+    row = [(n_texts, n_words, n_tokens, likelihood, perplexity)]
     schema = "n_texts bigint, n_words bigint, n_tokens bigint, log_likelihood double, log_perplexity double"
     size = first_match([(F.col("n_texts") < SMALL_CORPUS, "small corpus")], "large enough")
     return spark.createDataFrame(row, schema).withColumn("size_verdict", size)

@@ -96,6 +96,13 @@ def test_keyword_samples_repeat_whatever_the_partitioning(frame):
     assert first == again and len(first) == 2
 
 
+def test_keyword_report_bundles_the_tables(frame):
+    report = keywords.keyword_report(texts(frame), sample_size=1)
+    assert rows(report.impact) == rows(keywords.keyword_impact(texts(frame)))
+    assert len(rows(report.frequency)) == 2 + 1 and len(rows(report.samples)) == 1
+    assert rows(report.verdict)[0]["verdict"] == "strong"
+
+
 @pytest.mark.parametrize(
     "hit, other, ci, verdict",
     [

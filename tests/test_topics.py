@@ -108,5 +108,8 @@ def test_perplexity_is_sparks(spark):
 def test_small_corpus_and_empty_vocabulary(spark):
     small = topics.fit_topics(planted(spark, 40), k=2, min_df=5, evaluate_stability=False)
     assert small.fit.first().size_verdict == "small corpus"
-    with pytest.raises(ValueError, match="no word"):
-        topics.fit_topics(planted(spark, 10), min_df=50)
+    empty = topics.fit_topics(planted(spark, 10), min_df=50)
+    assert empty.model is None and empty.vocabulary == [] and empty.terms.count() == 0
+    assert empty.terms.columns == small.terms.columns
+    row = empty.fit.first()
+    assert (row.n_texts, row.n_words, row.log_perplexity) == (10, 0, None)
