@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import share
+from opinara.functions.text import any_part, mentions
 
 # Complaint themes searched in negative texts (no word boundary).
 COMPLAINT_THEMES = {
-    "construction": "(?i)construction|renovation|works|noise",
-    "cleanliness": "(?i)dirty|clean|hygiene",
-    "staff": "(?i)staff|service|reception|rude",
+    "construction": ("construction", "renovation", "works", "noise"),
+    "cleanliness": ("dirty", "clean", "hygiene"),
+    "staff": ("staff", "service", "reception", "rude"),
 }
 
+Themes = Mapping[str, Sequence[str]]
 
-def theme_columns(themes: Mapping[str, str] = COMPLAINT_THEMES) -> list[str]:
+
+def theme_columns(themes: Themes = COMPLAINT_THEMES) -> list[str]:
     return [f"pct_{theme}" for theme in themes]
 
 
-def feature_columns(themes: Mapping[str, str] = COMPLAINT_THEMES) -> list[str]:
+def feature_columns(themes: Themes = COMPLAINT_THEMES) -> list[str]:
     """Features in vector order; coordinates are not among them."""
     return [
         "mean_score",
@@ -37,7 +40,7 @@ def feature_columns(themes: Mapping[str, str] = COMPLAINT_THEMES) -> list[str]:
 
 def entity_features(
     reviews: DataFrame,
-    themes: Mapping[str, str] = COMPLAINT_THEMES,
+    themes: Themes = COMPLAINT_THEMES,
     approximate_segments: bool = False,
 ) -> DataFrame:
     """Ten features per (entity, lat, lng) in one pass over the reviews.
@@ -57,7 +60,7 @@ def entity_features(
         F.avg(pos + neg).alias("mean_length"),
         distinct(F.col("segment")).alias("n_segments"),
         *(
-            share(F.col("neg_text").rlike(pattern)).alias(name)
-            for name, pattern in zip(theme_columns(themes), themes.values())
+            share(mentions(F.col("neg_text"), words, any_part(words))).alias(name)
+            for name, words in zip(theme_columns(themes), themes.values())
         ),
     )

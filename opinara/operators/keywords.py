@@ -2,48 +2,64 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import ci95, first_match, hash_order, rounded, score_stats
+from opinara.functions.text import mentions, whole_word
 
-# Fixed value: words that tell of building works.
+# Words that tell of building works.
 BUILDING_WORKS = (
-    r"(?i)\b(construction|renovation|renovating|works|drilling|hammering|building work|jackhammer)\b"
+    "construction",
+    "renovation",
+    "renovating",
+    "works",
+    "drilling",
+    "hammering",
+    "building work",
+    "jackhammer",
 )
 # Fixed value: the difference taken for an effect when no interval is known.
 PLAIN_EFFECT = 0.3
 
 
-def keyword_impact(reviews: DataFrame, pattern: str = BUILDING_WORKS) -> DataFrame:
+def _has_keyword(words: Sequence[str]) -> Column:
+    return mentions(F.col("neg_text"), words, whole_word(words))
+
+
+def keyword_impact(reviews: DataFrame, words: Sequence[str] = BUILDING_WORKS) -> DataFrame:
     """Score statistics of reviews with and without the keyword.
 
     Reviews without negative text form a third group whose flag is null.
     """
-    stats = score_stats(reviews, F.col("neg_text").rlike(pattern).alias("has_keyword"))
+    stats = score_stats(reviews, _has_keyword(words).alias("has_keyword"))
     with_ci = stats.withColumn("ci95", ci95(F.col("std_score"), F.col("n")))
     return rounded(with_ci, 3, "mean_score", "std_score", "ci95").orderBy("has_keyword")
 
 
-def _hits(reviews: DataFrame, pattern: str, keep_case: bool) -> DataFrame:
-    """Reviews that hit, with the first keyword found (group 1 of the pattern)."""
-    found = F.regexp_extract("neg_text", pattern, 1)
-    return reviews.filter(F.col("neg_text").rlike(pattern)).withColumn(
+def _hits(reviews: DataFrame, words: Sequence[str], keep_case: bool) -> DataFrame:
+    """Reviews that hit, with the first keyword found in the text."""
+    found = F.regexp_extract("neg_text", whole_word(words), 1)
+    return reviews.filter(_has_keyword(words)).withColumn(
         "keyword", found if keep_case else F.lower(found)
     )
 
 
 def keyword_frequency(
-    reviews: DataFrame, pattern: str = BUILDING_WORKS, keep_case: bool = False, top_k: int | None = None
+    reviews: DataFrame,
+    words: Sequence[str] = BUILDING_WORKS,
+    keep_case: bool = False,
+    top_k: int | None = None,
 ) -> DataFrame:
     """Reviews per first matched keyword, most frequent first.
 
     ``keep_case`` counts "Works" and "works" apart.
     """
     counts = (
-        _hits(reviews, pattern, keep_case)
+        _hits(reviews, words, keep_case)
         .groupBy("keyword")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "keyword")
@@ -53,14 +69,14 @@ def keyword_frequency(
 
 def keyword_samples(
     reviews: DataFrame,
-    pattern: str = BUILDING_WORKS,
+    words: Sequence[str] = BUILDING_WORKS,
     n: int = 5,
     seed: int = 42,
     keep_case: bool = False,
 ) -> DataFrame:
     """``n`` pseudo-random hits; the same rows on every run and every cluster."""
     shown = ("entity", "score", "neg_text", "keyword")
-    hits = _hits(reviews, pattern, keep_case).select(*shown)
+    hits = _hits(reviews, words, keep_case).select(*shown)
     return hits.orderBy(hash_order("entity", "score", "neg_text", seed=seed), *shown).limit(n)
 
 
@@ -93,16 +109,18 @@ class KeywordReport:
     verdict: DataFrame
 
 
-def keyword_report(reviews: DataFrame, pattern: str = BUILDING_WORKS, sample_size: int = 5) -> KeywordReport:
-    """All keyword tables of one pattern.
+def keyword_report(
+    reviews: DataFrame, words: Sequence[str] = BUILDING_WORKS, sample_size: int = 5
+) -> KeywordReport:
+    """All keyword tables of one list of words.
 
     They are separate plans over ``reviews``.  Where building that table is dear,
     persist its ``entity, score, neg_text`` columns before and release them after.
     """
-    impact = keyword_impact(reviews, pattern)
+    impact = keyword_impact(reviews, words)
     return KeywordReport(
         impact,
-        keyword_frequency(reviews, pattern),
-        keyword_samples(reviews, pattern, sample_size),
+        keyword_frequency(reviews, words),
+        keyword_samples(reviews, words, sample_size),
         keyword_verdict(impact),
     )

@@ -52,12 +52,12 @@ REVIEW_COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
 WORD_COLUMNS: dict[str, tuple[str, str]] = {
     "neg_words": (
         "case when neg_text = 'No Negative' then 0"
-        " else length(neg_text) - length(replace(neg_text, ' ', '')) + 1 end",
+        " else octet_length(neg_text) - octet_length(replace(neg_text, ' ', '')) + 1 end",
         "neg_text",
     ),
     "pos_words": (
         "case when pos_text = 'No Positive' then 0"
-        " else length(pos_text) - length(replace(pos_text, ' ', '')) + 1 end",
+        " else octet_length(pos_text) - octet_length(replace(pos_text, ' ', '')) + 1 end",
         "pos_text",
     ),
 }

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.functions import PRESTIGE_BINS, SCORE_BINS, Bins, first_match, hash_order, in_fraction
+from opinara.functions.text import any_part, mentions, whole_word
 
 
 def test_score_bins_are_half_open_and_nulls_go_last(frame):
@@ -51,3 +52,23 @@ def test_in_fraction_is_independent_of_partitioning_and_nested(spark):
     assert 0.28 < len(third) / 20000 < 0.32
     assert df.filter(in_fraction("id", fraction=1.0, seed=1)).count() == 20000
     assert df.filter(in_fraction("id", fraction=0.0, seed=1)).count() == 0
+
+
+@pytest.mark.parametrize("make", [any_part, whole_word])
+def test_mentions_equals_the_pattern_alone(frame, make):
+    words = ("works", "building work", "noise")
+    texts = [
+        "WORKS", "networks", "Building  work", "building Work!", "noises", "a noise.", "wor\u212as", "no\u0130se",
+        "works\u00e9", "", "quiet", None,
+    ]
+    df = frame([(t,) for t in texts], "t string")
+    both = df.select(
+        mentions(F.col("t"), words, make(words)).alias("fast"), F.col("t").rlike(make(words)).alias("plain")
+    ).collect()
+    assert [r.fast for r in both] == [r.plain for r in both]
+
+
+@pytest.mark.parametrize("words", [(), ("Works",), ("a|b",), ("",)])
+def test_search_words_are_checked(words):
+    with pytest.raises(ValueError):
+        any_part(words)
