@@ -40,12 +40,10 @@ def keyword_impact(reviews: DataFrame, words: Sequence[str] = BUILDING_WORKS) ->
     return rounded(with_ci, 3, "mean_score", "std_score", "ci95").orderBy("has_keyword")
 
 
-def _hits(reviews: DataFrame, words: Sequence[str], keep_case: bool) -> DataFrame:
-    """Reviews that hit, with the first keyword found in the text."""
+def _first_keyword(words: Sequence[str], keep_case: bool) -> Column:
+    """The first keyword of the negative text, null where there is none."""
     found = F.regexp_extract("neg_text", whole_word(words), 1)
-    return reviews.filter(_has_keyword(words)).withColumn(
-        "keyword", found if keep_case else F.lower(found)
-    )
+    return F.when(_has_keyword(words), found if keep_case else F.lower(found))
 
 
 def keyword_frequency(
@@ -56,12 +54,15 @@ def keyword_frequency(
 ) -> DataFrame:
     """Reviews per first matched keyword, most frequent first.
 
-    ``keep_case`` counts "Works" and "works" apart.
+    ``keep_case`` counts "Works" and "works" apart.  Reviews without a keyword
+    fall into a null group of count zero, dropped after the aggregate: a filter
+    before it would search every text twice.
     """
     counts = (
-        _hits(reviews, words, keep_case)
+        reviews.withColumn("keyword", _first_keyword(words, keep_case))
         .groupBy("keyword")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count("keyword").alias("n"))
+        .filter(F.col("n") > 0)
         .orderBy(F.desc("n"), "keyword")
     )
     return counts if top_k is None else counts.limit(top_k)
@@ -74,10 +75,16 @@ def keyword_samples(
     seed: int = 42,
     keep_case: bool = False,
 ) -> DataFrame:
-    """``n`` pseudo-random hits; the same rows on every run and every cluster."""
-    shown = ("entity", "score", "neg_text", "keyword")
-    hits = _hits(reviews, words, keep_case).select(*shown)
-    return hits.orderBy(hash_order("entity", "score", "neg_text", seed=seed), *shown).limit(n)
+    """``n`` pseudo-random hits; the same rows on every run and every cluster.
+
+    Only hits draw a number, so they come first in the per-task top ``n``.
+    """
+    source = ("entity", "score", "neg_text")
+    drawn = reviews.select(*source, _first_keyword(words, keep_case).alias("keyword")).withColumn(
+        "draw", F.when(F.col("keyword").isNotNull(), hash_order(*source, seed=seed))
+    )
+    first = drawn.orderBy(F.col("draw").asc_nulls_last(), *source, "keyword").limit(n)
+    return first.filter(F.col("draw").isNotNull()).drop("draw")
 
 
 def keyword_verdict(impact: DataFrame) -> DataFrame:
