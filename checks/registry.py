@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara.functions import rounded
@@ -372,3 +372,25 @@ def topic_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     stability = topics.fit_topics(star.document_reviews(spark, sf_dir)).stability
     assert stability is not None
     return stability
+
+
+def _language_terms(documents: DataFrame) -> DataFrame:
+    """Term sets as a topic model would give them: the ten top words of each language."""
+    words = topics.topic_tokens(topics.topic_corpus(documents)).select("segment", F.explode("tokens").alias("term"))
+    counted = words.groupBy("segment", "term").agg(F.count(F.lit(1)).alias("n"))
+    by_count = Window.partitionBy("segment").orderBy(F.desc("n"), "term")
+    top = counted.withColumn("rank", F.row_number().over(by_count)).filter(F.col("rank") <= 10)
+    sets = top.groupBy("segment").agg(F.sort_array(F.collect_list("term")).alias("terms"))
+    return sets.select((F.row_number().over(Window.orderBy("segment")) - 1).alias("topic"), "terms")
+
+
+@query
+def topic_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matching of two collections of term sets: all documents against the labelled ones."""
+    found = topics.match_topics(
+        _language_terms(star.document_reviews(spark, sf_dir)),
+        _language_terms(star.document_reviews(spark, sf_dir, labelled=True)),
+    )
+    return topics.stability_report(found).select(
+        "topic_main", "topic_alt", F.round("jaccard", 6).alias("jaccard"), F.round("overall", 6).alias("overall"), "verdict"
+    )

@@ -524,3 +524,48 @@ terms as (select * from words where term not in ({_literals(ENGLISH_STOP_WORDS +
     + _vocabulary(15, 1500),
     "",
 )
+
+
+def _language_terms(name: str, source: str) -> str:
+    return rf"""
+{name}_words as (
+  select lang, unnest(regexp_extract_all(lower(text), '\p{{L}}{{3,}}')) as term
+  from {source} where text <> 'No Negative' and length(text) > 30
+),
+{name}_counts as (
+  select lang, term, row_number() over (partition by lang order by count(*) desc, term) as rank
+  from {name}_words where term not in ({_literals(ENGLISH_STOP_WORDS + DOMAIN_STOP_WORDS)}) group by lang, term
+),
+{name} as (
+  select row_number() over (order by lang) - 1 as topic, list(term) as terms
+  from {name}_counts where rank <= 10 group by lang
+)"""
+
+
+check(
+    "topic_matching",
+    f"""
+with recursive {_language_terms("main", "documents")},
+{_language_terms("alternative", "(select d.* from documents d join labels l on d.doc_id = l.doc_id)")},
+pairs as (
+  select m.topic as i, a.topic as j,
+         len(list_intersect(m.terms, a.terms)) / len(list_distinct(m.terms || a.terms)) as similarity
+  from main m, alternative a
+),
+steps as (
+  select cast(-1 as bigint) as i, cast([] as bigint[]) as used, cast(null as bigint) as j,
+         cast(null as double) as similarity
+  union all
+  select i, used, j, similarity from (
+    select p.i, list_append(s.used, p.j) as used, p.j, p.similarity,
+           row_number() over (order by p.similarity desc, p.j) as choice
+    from steps s join pairs p on p.i = s.i + 1 and not list_contains(s.used, p.j)
+  ) where choice = 1
+),
+matched as (select i, j, similarity, avg(similarity) over () as mean from steps where i >= 0)
+select cast(i as int) as topic_main, cast(j as int) as topic_alt, round(similarity, 6) as jaccard,
+       round(mean, 6) as overall,
+       case when mean < 0.35 then 'low' when mean < 0.55 then 'medium' else 'good' end as verdict
+from matched""",
+    "",
+)

@@ -110,6 +110,7 @@ def match_topics(main: DataFrame, alternative: DataFrame) -> DataFrame:
     Both inputs are ``topic, terms`` with one row per topic, so all of it fits in
     one row: candidates sorted by main topic, falling similarity and partner
     number are folded, keeping a pair when both its ends are still free.
+    ``overall`` is the mean overlap of the matches.
     """
 
     def side(df: DataFrame, name: str) -> DataFrame:
@@ -142,20 +143,19 @@ def match_topics(main: DataFrame, alternative: DataFrame) -> DataFrame:
     )
     listed = both.select(candidates.alias("candidates"))
     matched = F.aggregate("candidates", F.slice("candidates", 1, 0), keep)
+    total = F.aggregate("matched", F.lit(0.0), lambda sum_, m: sum_ + m["jaccard"])
     return (
         listed.select(matched.alias("matched"))
-        .select(F.inline("matched"))
+        .select(F.try_divide(total, F.size("matched")).alias("overall"), F.inline("matched"))
         .drop("order")
     )
 
 
 def stability_report(matches: DataFrame) -> DataFrame:
-    """The matches with their mean overlap and what it says about the topics."""
-    overall = matches.agg(F.avg("jaccard").alias("overall"))
-    verdict = first_match(
-        [(F.col("overall") < LOW_STABILITY, "low"), (F.col("overall") < MEDIUM_STABILITY, "medium")], "good"
-    )
-    return matches.withColumn("overall", overall.scalar()).withColumn("verdict", verdict)
+    """The matches with what their mean overlap says about the topics."""
+    overall = F.col("overall")
+    bounds = [(overall < LOW_STABILITY, "low"), (overall < MEDIUM_STABILITY, "medium")]
+    return matches.withColumn("verdict", first_match(bounds, "good"))
 
 
 def fit_topics(

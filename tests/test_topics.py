@@ -55,11 +55,16 @@ def test_matching_equals_brute_force(frame, k, seed):
     assert all(r.overall == pytest.approx(sum(p[2] for p in pairs) / k) for r in report)
 
 
+def test_nothing_to_match(frame):
+    assert topics.match_topics(frame([], TOPIC_SCHEMA), frame([], TOPIC_SCHEMA)).count() == 0
+    assert topics.match_topics(frame([], TOPIC_SCHEMA), frame([], TOPIC_SCHEMA)).collect() == []
+
+
 @pytest.mark.parametrize(
     "shared, verdict", [(3, "low"), (4, "medium"), (5, "medium"), (6, "good"), (10, "good")]
 )
 def test_stability_verdict(frame, shared, verdict):
-    matches = frame([(0, 0, shared / 10)], "topic_main int, topic_alt int, jaccard double")
+    matches = frame([(0, 0, shared / 10)], "topic_main int, topic_alt int, overall double")
     assert topics.stability_report(matches).first().verdict == verdict
 
 
