@@ -31,6 +31,7 @@ SEED = 12
 GAP = 0xFF  # no byte of UTF-8
 LAST = np.iinfo(np.int64).max
 BUCKET_BYTES = 3 << 20  # text for each bucket; its segments are about three times that
+SEND_BYTES = 2 << 20  # text whose segments a task compares before it sends them
 GROUP_BYTES = 8 << 20  # text put together again at once
 
 
@@ -79,14 +80,14 @@ def _batch(rows: list[dict], names: list[str]) -> pa.RecordBatch:
 
 def _send(length: int, seed: int, buckets: int, parts: int):
     names = ["bucket", "text", "doc", "crc", "start", "size", "part", "stop"]
-    squeeze = zstandard.ZstdCompressor(level=3).compress
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             ids = batch.column(0).fill_null(LAST).to_numpy(zero_copy_only=False)
             order = np.argsort(ids, kind="stable")
             ids = ids[order]
-            for chunk in chunks(batch.column(1).take(pa.array(order)), 4 << 20):
+            for chunk in chunks(batch.column(1).take(pa.array(order)), SEND_BYTES):
                 start, end, least = segments(chunk, length, seed)
                 if not len(start):
                     continue
