@@ -110,6 +110,31 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((sums[end] - sums[start]) * powers(_INVERSE, n + 1)[start] + (end - start).astype(np.uint64))
 
 
+def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` bytes from every place on, the same as ``span_hashes`` up to its mark of the length."""
+    n = len(data) - size + 1
+    out = np.empty(max(n, 0), np.uint64)
+    for first in range(0, n, CHUNK_BYTES // 2):
+        last = min(n, first + CHUNK_BYTES // 2)
+        part = data[first : last + size - 1]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(part)), out=sums[1:])
+        out[first:last] = mix((sums[size:] - sums[:-size]) * powers(_INVERSE, last - first))
+    return out
+
+
+def run_hashes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Hash of each of the spans that follow one another in ``data``."""
+    out = np.empty(len(bounds) - 1, np.uint64)
+    first = 0
+    while first < len(out):
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + CHUNK_BYTES, "right")) - 1)
+        part = bounds[first : last + 1] - bounds[first]
+        out[first:last] = span_hashes(data[bounds[first] : bounds[last]], part[:-1], part[1:])
+        first = last
+    return out
+
+
 def ngrams(hashes: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each run of ``n`` words within a row, and the index of its first word."""
     count = len(hashes) - n + 1

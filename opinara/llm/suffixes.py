@@ -21,34 +21,25 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.arrays import Chunk, chunks, mix, powers, sliding_min, span_hashes
-from opinara.llm.arrays import _BASE, _INVERSE
-from opinara.llm.blobs import joined, packed
+from opinara.llm.arrays import Chunk, chunks, gram_hashes, mix, run_hashes, sliding_min
+from opinara.llm.blobs import joined, packed, unpacked
 from opinara.llm.durable import text_bytes
 
 LENGTH = 50
 SEED = 12
 GAP = 0xFF  # no byte of UTF-8
 LAST = np.iinfo(np.int64).max
-BUCKET_BYTES = 3 << 20  # text for each bucket; its segments are about three times that
+BUCKET_BYTES = 2 << 20  # text for each bucket; its segments are about three times that
 SEND_BYTES = 2 << 20  # text whose segments a task compares before it sends them
 GROUP_BYTES = 8 << 20  # text put together again at once
 
 
-def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the ``size`` bytes from every place on."""
-    n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=sums[1:])
-    return mix((sums[size:] - sums[:-size]) * powers(_INVERSE, n + 1)[: n + 1 - size])
-
-
 def segments(chunk: Chunk, length: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, minimizer) of the segments of a chunk: runs of strings of one row with the same minimizer."""
     data, bounds = chunk.data, chunk.bounds
     if len(data) < length:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
-    least = sliding_min(_gram_hashes(data, seed), length - seed + 1)
+    least = sliding_min(gram_hashes(data, seed), length - seed + 1)
     fits = np.zeros(len(data) + 1, np.int8)
     long = np.diff(bounds) >= length
     np.add.at(fits, bounds[:-1][long], 1)
@@ -78,7 +69,7 @@ def _batch(rows: list[dict], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({n: pa.array([r.get(n) for r in rows], pa.int64() if n in ("bucket", "part") else pa.binary()) for n in names})
 
 
-def _send(length: int, seed: int, buckets: int, parts: int):
+def _send(length: int, seed: int, buckets: int, parts: int, own_keys: bool):
     names = ["bucket", "text", "doc", "crc", "start", "size", "part", "stop"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,7 +84,7 @@ def _send(length: int, seed: int, buckets: int, parts: int):
                     continue
                 row = np.searchsorted(chunk.bounds, start, "right") - 1
                 doc = ids[chunk.first + row]
-                crcs = np.array([zlib.crc32(chunk.data[a:b]) for a, b in zip(chunk.bounds[:-1], chunk.bounds[1:], strict=True)], np.int64)
+                crcs = np.array([0 if own_keys else zlib.crc32(chunk.raw(i)) for i in range(len(chunk))], np.int64)
                 held: dict[bytes, int] = {}  # segment -> the smallest document of the chunk that has it
                 whole = chunk.data.tobytes()
                 texts = [whole[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
@@ -173,20 +164,27 @@ def shared_prefixes(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarr
 
 def repeated(text: np.ndarray, start: np.ndarray, size: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Of the strings of ``length`` bytes in segments of ``text``: (segment, offset) of those that a smaller document has too."""
-    counts = size - length + 1
-    owner = np.repeat(np.arange(len(start)), counts)
-    offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    hashes = span_hashes(text, start[owner] + offset, start[owner] + offset + length)
+    fits = np.zeros(len(text) + 1, np.int8)
+    fits[start] += 1
+    fits[start + size - length + 1] -= 1
+    fits = np.flatnonzero(np.cumsum(fits[:-1], dtype=np.int8)[: max(len(text) - length + 1, 0)])
+    hashes = gram_hashes(text, length)[fits]
     by = np.argsort(hashes)
-    same = hashes[by][1:] == hashes[by][:-1]
+    ordered = hashes[by]
+    del hashes
+    same = ordered[1:] == ordered[:-1]
+    del ordered
     again = np.zeros(len(by), bool)  # its hash comes again: only these can be repeats
     again[by[1:][same]] = True
     again[by[:-1][same]] = True
-    if not again.any():
-        return owner[:0], offset[:0]
-    hit = np.flatnonzero(again)
-    cut = np.flatnonzero((np.diff(hit) != 1) | (np.diff(owner[hit]) != 0)) + 1
-    first, last = hit[np.concatenate([[0], cut])], hit[np.concatenate([cut - 1, [len(hit) - 1]])]
+    del by, same
+    fits = fits[again]
+    if not len(fits):
+        return fits, fits
+    owner = np.searchsorted(start, fits, "right") - 1
+    offset = fits - start[owner]
+    cut = np.flatnonzero((np.diff(fits) != 1) | (np.diff(owner) != 0)) + 1
+    first, last = np.concatenate([[0], cut]), np.concatenate([cut - 1, [len(fits) - 1]])
     spans = offset[last] - offset[first] + length
     places = np.arange((spans + 1).sum()) - np.repeat(np.cumsum(spans + 1) - spans - 1, spans + 1)
     piece = np.repeat(np.arange(len(first)), spans + 1)
@@ -210,14 +208,21 @@ def _search(length: int, parts: int):
         text = np.frombuffer(b"".join(map(zstandard.decompress, table.column("text").to_pylist())), np.uint8)
         at = np.cumsum(size) - size
         # equal segments: one stands for all, with the smallest document
-        order = np.lexsort((doc, size, span_hashes(text, at, at + size)))
-        names = span_hashes(text, at, at + size)[order]
+        names = run_hashes(text, np.append(at, len(text)))
+        order = np.lexsort((doc, size, names))
+        names = names[order]
         new = np.concatenate([[True], (names[1:] != names[:-1]) | (np.diff(size[order]) != 0)])
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(new) - 1
         chosen = order[new]
         smallest = doc[chosen][group]
-        segment, offset = repeated(text, at[chosen], size[chosen], doc[chosen], length)
+        chosen = np.sort(chosen)
+        number = np.empty(len(chosen), np.int64)
+        number[group[chosen]] = np.arange(len(chosen))
+        group = number[group]
+        if len(chosen) < len(doc):
+            text = np.concatenate([text[a:b] for a, b in zip(at[chosen].tolist(), (at + size)[chosen].tolist(), strict=True)])
+        segment, offset = repeated(text, np.cumsum(size[chosen]) - size[chosen], size[chosen], doc[chosen], length)
         out = [(doc[r], crc[r], start[r], start[r] + size[r]) for r in (np.flatnonzero(doc > smallest),)]
         # runs of removed strings, in every row that the segment stands for
         by = np.lexsort((offset, segment))
@@ -246,49 +251,79 @@ def merged(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return start[new], stop[np.concatenate([new[1:], [True]])]
 
 
-def _finish(key: str, with_text: bool):
+def _finish(key: str, with_text: bool, own_keys: bool):
     def run(texts: pa.Table, marks: pa.Table) -> pa.Table:
         doc, crc, start, stop = (joined(marks, c, c == "doc") for c in ("doc", "crc", "start", "stop"))
         order = np.lexsort((crc, doc))
         doc, crc, start, stop = doc[order], crc[order], start[order], stop[order]
-        out: dict[str, list] = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
-        for own, value in zip(texts.column(key).to_pylist(), texts.column("text").to_pylist(), strict=True):
-            raw = (value or "").encode()
-            own = LAST if own is None else own
-            lo, hi = np.searchsorted(doc, own), np.searchsorted(doc, own, "right")
-            rows = np.arange(lo, hi)[crc[lo:hi] == zlib.crc32(raw)] if hi > lo else ()
-            kept, gone, spans = raw, 0, 0
-            if len(rows):
-                a, b = merged(start[rows], stop[rows])
-                gone, spans = int((b - a).sum()), len(a)
-                edges = [0, *np.stack([a, b], 1).ravel().tolist(), len(raw)]
-                kept = b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True))
-            for name, x in zip(out, (len(raw), gone, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None), strict=True):
-                out[name].append(x)
-        found = {key: texts.column(key), **{n: pa.array(out[n], pa.int64()) for n in ("n_bytes", "n_removed", "n_spans")}, "kept_sha256": pa.array(out["kept_sha256"], pa.string())}
-        return pa.table(found | ({"kept": pa.array(out["kept"], pa.string())} if with_text else {}))
+        out: dict[str, list] = {c: [] for c in ("key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
+        for ids, sizes, blob in zip(*(texts.column(c).to_pylist() for c in ("ids", "sizes", "texts")), strict=True):
+            whole, at = zstandard.decompress(blob), 0
+            for own, size in zip(unpacked(ids).tolist(), unpacked(sizes).tolist(), strict=True):
+                raw = whole[at : at + size]
+                at += size
+                lo, hi = np.searchsorted(doc, own), np.searchsorted(doc, own, "right")
+                rows = np.arange(lo, hi)
+                if hi > lo and not own_keys:
+                    rows = rows[crc[lo:hi] == zlib.crc32(raw)]
+                kept, gone, spans = raw, 0, 0
+                if len(rows):
+                    a, b = merged(start[rows], stop[rows])
+                    gone, spans = int((b - a).sum()), len(a)
+                    edges = [0, *np.stack([a, b], 1).ravel().tolist(), len(raw)]
+                    kept = b"".join(raw[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True))
+                row = (None if own == LAST else own, len(raw), gone, spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore") if with_text else None)
+                for name, x in zip(out, row, strict=True):
+                    out[name].append(x)
+        kinds = {"kept_sha256": pa.string(), "kept": pa.string()}
+        return pa.table({key if c == "key" else c: pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items() if with_text or c != "kept"})
 
     return run
 
 
+def _dealt(parts: int):
+    """Texts of a part of the documents, some together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            ids = batch.column(0).fill_null(LAST).to_numpy(zero_copy_only=False)
+            for chunk in chunks(batch.column(1), 4 * SEND_BYTES):
+                own = ids[chunk.first : chunk.first + len(chunk)]
+                part = (mix(own.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+                by = np.argsort(part, kind="stable")
+                groups = np.split(by, np.flatnonzero(np.diff(part[by])) + 1)
+                sizes = np.diff(chunk.bounds)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([int(part[g[0]]) for g in groups]),
+                        pa.array([packed(own[g]) for g in groups], pa.binary()),
+                        pa.array([packed(sizes[g]) for g in groups], pa.binary()),
+                        pa.array([squeeze(b"".join([chunk.raw(i) for i in g])) for g in groups], pa.binary()),
+                    ],
+                    names=["part", "ids", "sizes", "texts"],
+                )
+
+    return run, "part long, ids binary, sizes binary, texts binary"
+
+
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, with_text: bool = False) -> DataFrame:
     """Per document: n_bytes, and n_removed, n_spans and kept_sha256 after removal of each byte in a string of ``length`` bytes
     that also starts in a document with a smaller key; ``with_text`` adds what is kept (a character cut apart is left out).
 
     A null or empty text has nothing to remove.  A null key comes after all others; rows of one key are not smaller than each other
-    and are judged each.  Other columns are not read.
+    and are judged each.  (The largest long comes back as null.)  Other columns are not read.
     """
     docs = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
     total = text_bytes(docs)
     buckets, parts = max(8, total // BUCKET_BYTES), max(8, total // GROUP_BYTES)
     seed = min(SEED, max(1, length // 2))
-    run, schema = _send(length, seed, buckets, parts)
-    sent = docs.mapInArrow(run, schema)
-    routed = sent.withColumn("target", F.coalesce("bucket", -1 - F.col("part")))
-    marks = routed.groupBy("target").applyInArrow(_route(_search(length, parts)), MARKS)
-    numbered = docs.mapInArrow(_numbered(key, parts), f"part long, `{key}` long, text string")
+    own_keys = docs.groupBy(key).count().where("count > 1").isEmpty()  # else rows of one key are told apart by their texts' crc32
+    sent = docs.mapInArrow(*_send(length, seed, buckets, parts, own_keys)).withColumn("target", F.coalesce("bucket", -1 - F.col("part")))
+    marks = sent.groupBy("target").applyInArrow(_route(_search(length, parts)), MARKS)
     kind = f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if with_text else "")
-    return numbered.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(_finish(key, with_text), kind)
+    texts = docs.mapInArrow(*_dealt(parts))
+    return texts.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(_finish(key, with_text, own_keys), kind)
 
 
 def _route(search):
@@ -300,13 +335,3 @@ def _route(search):
         return search(table)
 
     return run
-
-
-def _numbered(key: str, parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).fill_null(LAST).to_numpy(zero_copy_only=False)
-            part = (mix(ids.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(part), batch.column(0), batch.column(1)], names=["part", key, "text"])
-
-    return run
