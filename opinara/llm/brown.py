@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -89,27 +90,16 @@ class Head:
 
     def ids(self, index: dict[bytes, int], found: list[bytes]) -> np.ndarray:
         """Head numbers of words; others get ``len(words) + shape``."""
-        base = len(self.words)
-        return np.fromiter((i if i >= 0 else base + shape(w) for i, w in zip(map(index.get, found, _MINUS), found, strict=False)), np.int64, len(found))
+        out = np.fromiter(map(index.get, found, repeat(-1)), np.int64, len(found))
+        rare = np.flatnonzero(out < 0)
+        out[rare] = [len(self.words) + shape(found[i]) for i in rare.tolist()]
+        return out
 
     def class_table(self) -> np.ndarray:
         """Class by number, the shapes' after the words'."""
         return np.concatenate([self.classes, np.arange(SHAPES + 1)])
 
 
-class _Minus:
-    """An endless supply of -1, for map()."""
-
-    def __iter__(self) -> _Minus:
-        return self
-
-    def __next__(self) -> int:
-        return -1
-
-
-_MINUS = _Minus()
-
-
 def _stream(batch: pa.RecordBatch, head: Head, index: dict[bytes, int]) -> Iterator[np.ndarray]:
     """Numbers of the tokens of each text."""
     for value in batch.column(0):
@@ -131,11 +121,13 @@ def _summed(docs: DataFrame, size: int, head: Head, count) -> np.ndarray:
         for batch in batches:
             seen = True
             held: list[np.ndarray] = []
+            waiting = 0
             for numbers in _stream(batch, head, index):
                 held.append(numbers)
-                if sum(map(len, held)) > 200_000:
+                waiting += len(numbers)
+                if waiting > 500_000:
                     count(held, table)
-                    held = []
+                    held, waiting = [], 0
             count(held, table)
         if seen:
             pack = zstandard.ZstdCompressor(level=1).compress
@@ -294,7 +286,7 @@ ALPHA = 0.1
 
 
 def scores(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", head_words: int = 32_768, moving: int = 4096, classes: int = 48, rounds: int = 3
+    docs: DataFrame, key: str = "doc_id", text: str = "text", head_words: int = 32_768, moving: int = 4096, classes: int = 48, rounds: int = 2
 ) -> DataFrame:
     """Score every text with a class model learned from those not held out.
 
@@ -353,24 +345,19 @@ def _scored(rows: DataFrame, counts: DataFrame, model: Model, ends: int) -> Data
                 score = flat[(classes[:-2] * c + classes[1:-1]) * c + classes[2:]].sum() + model.emission[numbers].sum()
                 rare = np.flatnonzero(numbers >= base)
                 own.append((len(found) + 1, len(found) - len(rare) + (ends > 0), log_base[numbers].sum() + log_end, score))
-                for w, n in Counter([found[j] for j in rare]).items():
-                    row.append(i)
-                    word.append(w)
-                    times.append(n)
+                seen = Counter([found[j] for j in rare.tolist()])
+                row += [i] * len(seen)
+                word += seen.keys()
+                times += seen.values()
                 if len(row) > 100_000:
-                    yield _tail_rows(row, word, times)
+                    yield _parts(row, word, times, np.zeros((len(row), 4)))
                     row, word, times = [], [], []
-            if row:
-                yield _tail_rows(row, word, times)
-            figures = np.array(own, float).reshape(-1, 4)
-            marks = [b" %d" % i for i in ids]  # no word has a space: these meet no count, and spread evenly
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(marks, pa.binary()), pa.array(np.zeros(len(ids), np.int64)), pa.array([r.tobytes() for r in figures], pa.binary())],
-                names=["row", "word", "times", "own"],
-            )
+            yield _parts(row, word, times, np.zeros((len(row), 4)))
+            # a row's own figures go under a mark that is no word, as it has a space: it meets no count and spreads evenly
+            yield _parts(ids, [b" %d" % i for i in ids], [0] * len(ids), np.array(own, float).reshape(-1, 4))
 
     keyed = rows.withColumn("row", F.monotonically_increasing_id())
-    tails = keyed.select("row", "text").mapInArrow(run, "row long, word binary, times long, own binary")
+    tails = keyed.select("row", "text").mapInArrow(run, PARTS_OF)
     kind = shape_column("word")
     tokens_of = F.element_at(F.array(*[F.lit(float(x)) for x in model.tail_tokens]), kind + 1)
     words_of = F.element_at(F.array(*[F.lit(float(x)) for x in model.tail_words]), kind + 1)
@@ -379,25 +366,20 @@ def _scored(rows: DataFrame, counts: DataFrame, model: Model, ends: int) -> Data
         tails.join(counts, "word", "left")
         .groupBy("row")
         .agg(
-            F.max("own").alias("own"),
-            F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"),
-            F.sum(F.col("times") * F.log10((seen + ALPHA) / F.lit(float(scale)))).alias("tail_base"),
-            F.sum(F.col("times") * F.log10((seen + ALPHA) / (tokens_of + ALPHA * (words_of + 1)))).alias("tail_score"),
+            F.sum("tokens").alias("n_tokens"),
+            F.sum(F.col("known") + F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_known"),
+            F.sum(F.col("base") + F.col("times") * F.log10((seen + ALPHA) / F.lit(float(scale)))).alias("base_score"),
+            F.sum(F.col("own") + F.col("times") * F.log10((seen + ALPHA) / (tokens_of + ALPHA * (words_of + 1)))).alias("score"),
         )
     )
+    return keyed.select("row", "key", "held_out").join(parts, "row").select("key", "held_out", "n_tokens", "n_known", F.lit(int(model.total)).cast("long").alias("train_tokens"), "base_score", "score")
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = np.frombuffer(b"".join(batch.column(1).to_pylist()), float).reshape(-1, 4)
-            known, based, scored = (batch.column(j).to_numpy(zero_copy_only=False) for j in (2, 3, 4))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(own[:, 0].astype(np.int64)), pa.array(own[:, 1].astype(np.int64) + known), pa.array(own[:, 2] + based), pa.array(own[:, 3] + scored)],
-                names=["row", "n_tokens", "n_known", "base_score", "score"],
-            )
 
-    found = parts.mapInArrow(finish, "row long, n_tokens long, n_known long, base_score double, score double")
-    return keyed.select("row", "key", "held_out").join(found, "row").select("key", "held_out", "n_tokens", "n_known", F.lit(int(model.total)).cast("long").alias("train_tokens"), "base_score", "score")
+PARTS_OF = "row long, word binary, times long, tokens long, known long, base double, own double"
 
 
-def _tail_rows(row: list[int], word: list[bytes], times: list[int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(word, pa.binary()), pa.array(times, pa.int64()), pa.nulls(len(row), pa.binary())], names=["row", "word", "times", "own"])
+def _parts(row: list[int], word: list[bytes], times: list[int], figures: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(row, pa.int64()), pa.array(word, pa.binary()), pa.array(times, pa.int64()), *(pa.array(figures[:, j].astype(np.int64)) for j in (0, 1)), *(pa.array(figures[:, j].copy()) for j in (2, 3))],
+        names=["row", "word", "times", "tokens", "known", "base", "own"],
+    )
