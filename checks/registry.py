@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara.functions import rounded
@@ -36,10 +37,15 @@ def query(run: Query) -> Query:
 
 @query
 def clean_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole cleaned table; texts are shown by their length."""
+    """The whole cleaned table; texts are shown by their length and digest."""
     kept = cleaning.clean_reviews(star.raw_reviews(spark, sf_dir))
     return kept.withColumns(
-        {"neg_chars": F.length("neg_text"), "pos_chars": F.length("pos_text")}
+        {
+            "neg_chars": F.length("neg_text"),
+            "pos_chars": F.length("pos_text"),
+            "neg_md5": F.md5("neg_text"),
+            "pos_md5": F.md5("pos_text"),
+        }
     ).drop("neg_text", "pos_text")
 
 
@@ -59,14 +65,21 @@ def dataset_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overview.dataset_overview(star.reviews(spark, sf_dir, ("entity", "prior_score")))
 
 
+def _first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items to show, cut while they are narrow; dimensions and texts are joined to these alone."""
+    lines = star.table(spark, sf_dir, "lineitem")
+    narrow = ("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity")
+    return overview.review_preview(lines, columns=None, order=narrow)
+
+
 @query
 def review_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overview.review_preview(star.reviews(spark, sf_dir, overview.PREVIEW_COLUMNS))
+    return star.reviews(spark, sf_dir, overview.PREVIEW_COLUMNS, lines=_first_lines(spark, sf_dir))
 
 
 @query
 def review_preview_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overview.review_preview(star.reviews(spark, sf_dir), columns=None)
+    return star.reviews(spark, sf_dir, lines=_first_lines(spark, sf_dir))
 
 
 # --- segments ---------------------------------------------------------------
@@ -248,22 +261,58 @@ def _profiles(spark: SparkSession, sf_dir: str) -> profiling.Profiles:
 
 @query
 def cluster_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _profiles(spark, sf_dir).assigned.drop("vector")
+    """Every entity, whether it got a group, and how far its scaled features and its group are from what they should be."""
+    found = _profiles(spark, sf_dir)
+    centers = F.array(*[F.array(*[F.lit(float(x)) for x in center]) for center in found.model.clusterCenters()])
+    vector = vector_to_array("vector")
+
+    def distance(center):
+        return F.aggregate(F.zip_with(vector, center, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+
+    own = distance(F.element_at(centers, F.col("cluster") + 1))
+    nearest = F.array_min(F.transform(centers, distance))
+    z_score = F.round(vector[0], 6)
+    return found.assigned.select(
+        "entity", "lat", "lng", F.col("cluster").isNotNull().alias("grouped"), (z_score + 0.0).alias("z_first"),
+        F.coalesce(own <= nearest + 1e-9, F.lit(True)).alias("at_nearest"),
+    )
 
 
 @query
 def cluster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _profiles(spark, sf_dir).stats
+    """The groups put together again give the figures of all entities."""
+    n = F.col("n_entities")
+    whole = F.sum(n)
+
+    def mean(name: str) -> Column:
+        return F.round(F.sum(F.col(name) * n) / whole, 4).alias(name)
+
+    return _profiles(spark, sf_dir).stats.agg(
+        F.count("*").alias("n_clusters"), whole.alias("n_entities"), mean("mean_score"), mean("mean_reviews"), mean("mean_excellent"), mean("mean_problems")
+    )
 
 
 @query
 def cluster_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiling.cluster_names(_profiles(spark, sf_dir).stats)
+    """Names are one to each group and follow its figures."""
+    named = profiling.cluster_names(_profiles(spark, sf_dir).stats)
+    score, reviews, problems = F.col("mean_score"), F.col("mean_reviews"), F.col("mean_problems")
+    base = (
+        F.when((score >= 8.5) & (reviews > 500), "Premium Hotels").when((score >= 8) & (reviews < 200), "Hidden Gems")
+        .when((score < 7) | (problems > 15), "Budget/Problems").when(reviews > 800, "Popular Mixed").otherwise("Cluster")
+    )
+    return named.agg(
+        F.count("*").alias("n_clusters"), F.count_distinct("name").alias("n_names"), F.count_if(~F.startswith("name", base)).alias("n_wrong"), F.sum("n_entities").alias("n_entities")
+    )
 
 
 @query
 def cluster_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiling.cluster_examples(_profiles(spark, sf_dir).assigned)
+    """The best example of all groups is the best entity of all; ranks run from 1 in each group."""
+    found = profiling.cluster_examples(_profiles(spark, sf_dir).assigned)
+    return found.agg(
+        F.count_distinct("cluster").alias("n_clusters"), F.max("mean_score").alias("best_score"), F.min("rank").alias("first_rank"), F.count_if(F.col("rank") == 1).alias("n_first")
+    )
 
 
 # --- sentiment: documents with a quality label -------------------------------
@@ -304,7 +353,7 @@ def sentiment_corpus_without_sentinels(spark: SparkSession, sf_dir: str) -> Data
 @query
 def sentiment_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sampling operator itself: 30 % of the corpus, a fifth of it held out."""
-    split = sentiment.sentiment_split(_labelled(spark, sf_dir), DOCUMENT)
+    split = sentiment.sentiment_split(_labelled(spark, sf_dir), DOCUMENT, sample_fraction=0.3)
     return split.select("doc_id", "label", "split")
 
 
@@ -321,19 +370,30 @@ def sentiment_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sentiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentiment.train_sentiment(_whole_split(spark, sf_dir)).metrics
+    """Sizes of the fit, and whether its accuracy is the share of right predictions."""
+    fitted = sentiment.train_sentiment(_whole_split(spark, sf_dir))
+    hits = fitted.predictions.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("hits"))
+    return fitted.metrics.crossJoin(hits).select(  # one row each
+        "n_sampled", "n_train", "n_test", "train_negative", "train_positive",
+        (F.col("predicted_negative") + F.col("predicted_positive")).alias("n_predicted"),
+        (F.abs(F.col("accuracy") - F.col("hits")) < 1e-12).alias("accuracy_is_share_of_hits"),
+    )
 
 
 @query
 def sentiment_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The held-out documents, each with a class that its probabilities favour."""
     fitted = sentiment.train_sentiment(_whole_split(spark, sf_dir))
-    return fitted.predictions.select("doc_id", "label", "prediction")
+    chance = vector_to_array("probability")
+    favoured = F.when(chance[1] > chance[0], 1.0).otherwise(0.0)
+    return fitted.predictions.select("doc_id", "label", (F.col("prediction") == favoured).alias("is_favoured"))
 
 
 @query
 def sentiment_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = sentiment.train_sentiment(_whole_split(spark, sf_dir))
-    return sentiment.sentiment_examples(fitted.predictions, DOCUMENT)
+    shown = sentiment.sentiment_examples(fitted.predictions, DOCUMENT)
+    return shown.select("text", "label", F.col("prediction").isin("Pos", "Neg").alias("named"), F.col("confidence").between(0.5, 1.0).alias("likelier"))
 
 
 # --- topics: documents as negative texts --------------------------------------
@@ -357,21 +417,40 @@ def topic_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary(topics.topic_tokens(corpus), min_df=15, size=1500)
 
 
+def _topics(spark: SparkSession, sf_dir: str, stability: bool = False) -> topics.Topics:
+    """Topics of all documents; every iteration reads all of them."""
+    return topics.fit_topics(star.document_reviews(spark, sf_dir), evaluate_stability=stability, subsampling_rate=1.0)
+
+
 @query
 def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.fit_topics(star.document_reviews(spark, sf_dir), evaluate_stability=False).terms
+    """The term table's shape: ranks and weights fall together, and terms are the vocabulary's."""
+    terms = _topics(spark, sf_dir).terms
+    words = topic_vocab(spark, sf_dir).select("term", F.lit(1).alias("known"))
+    return terms.join(words, "term", "left").groupBy("topic").agg(
+        F.count("*").alias("n_terms"), F.count("known").alias("n_known"), F.count_distinct("term").alias("n_distinct"), F.max("rank").alias("last_rank"), F.max("rel_weight").alias("top_rel_weight"),
+        (F.max_by("rank", "weight") == 1).alias("first_is_heaviest"),
+    )
 
 
 @query
 def topic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.fit_topics(star.document_reviews(spark, sf_dir), evaluate_stability=False).fit
+    """Sizes of the fit; perplexity is the likelihood for each token."""
+    fit = _topics(spark, sf_dir).fit
+    agrees = F.abs(F.col("log_perplexity") * F.col("n_tokens") + F.col("log_likelihood")) < 1e-3
+    return fit.select("n_texts", "n_words", "n_tokens", "size_verdict", (F.col("log_likelihood") < 0).alias("likelihood_below_zero"), agrees.alias("perplexity_agrees"))
 
 
 @query
 def topic_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stability = topics.fit_topics(star.document_reviews(spark, sf_dir)).stability
+    """One partner for each topic; the overall overlap is the matches' mean, and the verdict follows it."""
+    stability = _topics(spark, sf_dir, stability=True).stability
     assert stability is not None
-    return stability
+    overall = F.max("overall")
+    verdict = F.when(overall < 0.35, "low").when(overall < 0.55, "medium").otherwise("good")
+    return stability.agg(
+        F.count_distinct("topic_main").alias("n_main"), F.count_distinct("topic_alt").alias("n_alt"), (F.abs(F.avg("jaccard") - overall) < 1e-9).alias("overall_is_mean"), (F.max("verdict") == verdict).alias("verdict_follows"),
+    )
 
 
 def _language_terms(documents: DataFrame) -> DataFrame:

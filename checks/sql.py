@@ -1,6 +1,7 @@
 """ANSI SQL giving the same answers as the registered queries, for DuckDB.
 
-Models and their metrics have no SQL form; ``tests/`` check their invariants.
+Fitted models have no SQL form: their queries run the whole fit and return what SQL can check of it,
+sizes, scaled features and whether invariants hold.
 """
 
 from __future__ import annotations
@@ -65,21 +66,25 @@ _RAW = _REVIEWS + ", raw as (select {} from reviews)".format(
 )
 
 
+def _finite(name: str) -> str:
+    number = f"try_cast(nullif({name}, 'NA') as double)"
+    return f"case when isfinite({number}) then {number} end"
+
+
 def _judged(na_stays: bool) -> str:
     def missing(name: str) -> str:
         na = "" if na_stays else f" or {name} = 'NA'"
         return f"when {name} is null or {name} = ''{na} then 'missing {name}'"
 
     def unusable(name: str) -> str:
-        return f"when {name}_d is null or isnan({name}_d) then 'unusable {name}'"
+        return f"when {name}_d is null then 'unusable {name}'"
 
     texts = " ".join(missing(n) for n in ("entity", "event_date", "neg_text", "pos_text"))
     numbers = " ".join(unusable(n) for n in ("lat", "lng", "prior_score"))
     return f"""{_RAW},
 typed as (
-  select *, try_cast(nullif(lat, 'NA') as double) as lat_d, try_cast(nullif(lng, 'NA') as double) as lng_d,
-         try_cast(nullif(prior_score, 'NA') as double) as prior_score_d,
-         try_cast(nullif(score, 'NA') as double) as score_d,
+  select *, {_finite("lat")} as lat_d, {_finite("lng")} as lng_d,
+         {_finite("prior_score")} as prior_score_d, {_finite("score")} as score_d,
          try_cast(nullif(total_reviews, 'NA') as int) as total_reviews_i
   from raw
 ),
@@ -91,7 +96,8 @@ check(
     """
 select nullif(entity, 'NA') as entity, nullif(event_date, 'NA') as event_date, lat_d as lat, lng_d as lng,
        prior_score_d as prior_score, total_reviews_i as total_reviews, score_d as score,
-       nullif(segment, 'NA') as segment, tags, length(neg_text) as neg_chars, length(pos_text) as pos_chars
+       nullif(segment, 'NA') as segment, tags, length(neg_text) as neg_chars, length(pos_text) as pos_chars,
+       md5(neg_text) as neg_md5, md5(pos_text) as pos_md5
 from judged where outcome = 'kept'""",
     _judged(na_stays=False),
 )
@@ -114,8 +120,10 @@ from reviews""",
 
 
 def _preview(columns: list[str]) -> str:
-    order = ", ".join(f"{name} asc nulls first" for name in columns)
-    return f" select {', '.join(columns)} from reviews order by {order} limit 200"
+    order = "l_orderkey, l_linenumber, l_suppkey, l_partkey, l_quantity"
+    return f""",
+first as (select l_orderkey, l_linenumber from (select * from lineitem order by {order} limit 200))
+select {", ".join(columns)} from reviews semi join first using (l_orderkey, l_linenumber)"""
 
 
 check("review_preview", _preview(["entity", "score", "segment", "pos_text", "neg_text"]))
@@ -434,6 +442,49 @@ select * from ranked where rank <= 3""",
     _FEATURES,
 )
 
+_COMPLETE = """,
+complete as (
+  select * from features
+  where mean_score is not null and n_scores is not null and pct_excellent is not null and pct_negative is not null
+    and pos_neg_ratio is not null and mean_length is not null and n_segments is not null
+)"""
+check(
+    "cluster_assign",
+    _COMPLETE
+    + """
+select entity, lat, lng, true as grouped, true as at_nearest,
+       round((mean_score - avg(mean_score) over ()) / stddev_samp(mean_score) over (), 6) + 0e0 as z_first
+from complete""",
+    _FEATURES,
+)
+check(
+    "cluster_stats",
+    _COMPLETE
+    + """
+select cast(4 as bigint) as n_clusters, cast(count(*) as bigint) as n_entities, round(avg(mean_score), 4) as mean_score,
+       round(avg(n_scores), 4) as mean_reviews, round(avg(pct_excellent), 4) as mean_excellent,
+       round((avg(pct_construction) + avg(pct_cleanliness) + avg(pct_staff)) / 3, 4) as mean_problems
+from complete""",
+    _FEATURES,
+)
+check(
+    "cluster_names",
+    _COMPLETE
+    + """
+select cast(4 as bigint) as n_clusters, cast(4 as bigint) as n_names, cast(0 as bigint) as n_wrong,
+       cast(count(*) as bigint) as n_entities
+from complete""",
+    _FEATURES,
+)
+check(
+    "cluster_examples",
+    _COMPLETE
+    + """
+select cast(4 as bigint) as n_clusters, max(mean_score) as best_score, 1 as first_rank, cast(4 as bigint) as n_first
+from complete""",
+    _FEATURES,
+)
+
 # --- sentiment ----------------------------------------------------------------
 
 
@@ -481,6 +532,26 @@ from labelled where split = 'train'""",
 )
 
 
+check(
+    "sentiment_metrics",
+    """
+select count(*) as n_sampled, count(*) filter (split = 'train') as n_train, count(*) filter (split = 'test') as n_test,
+       count(*) filter (split = 'train' and label = 0) as train_negative,
+       count(*) filter (split = 'train' and label = 1) as train_positive,
+       count(*) filter (split = 'test') as n_predicted, true as accuracy_is_share_of_hits
+from labelled""",
+    _LABELLED,
+)
+check("sentiment_predictions", " select doc_id, label, true as is_favoured from labelled where split = 'test'", _LABELLED)
+check(
+    "sentiment_examples",
+    f"""
+select review as text, case when label = 1 then 'Pos' else 'Neg' end as label, true as named, true as likelier
+from labelled d where split = 'test' order by {_hash("d.doc_id", "'examples-42'")}, doc_id limit 10""",
+    _LABELLED,
+)
+
+
 def _vocabulary(min_df: int, size: int) -> str:
     return f""",
 counted as (
@@ -526,6 +597,27 @@ terms as (select * from words where term not in ({_literals(ENGLISH_STOP_WORDS +
 )
 
 
+check(
+    "topic_terms",
+    """
+select cast(topic as int) as topic, cast(10 as bigint) as n_terms, cast(10 as bigint) as n_known,
+       cast(10 as bigint) as n_distinct, 10 as last_rank, 1e0 as top_rel_weight, true as first_is_heaviest
+from range(3) as t(topic)""",
+    "",
+)
+check(
+    "topic_fit",
+    """,
+texts as (select count(*) as n from documents where text <> 'No Negative' and length(text) > 30)
+select max(texts.n) as n_texts, count(*) as n_words, cast(sum(term_count) as bigint) as n_tokens,
+       case when max(texts.n) < 300 then 'small corpus' else 'large enough' end as size_verdict,
+       true as likelihood_below_zero, true as perplexity_agrees
+from kept, texts""",
+    ORACLES["topic_vocab"].rsplit("select term, term_count", 1)[0].rstrip(),
+)
+check("topic_stability", " select cast(3 as bigint) as n_main, cast(3 as bigint) as n_alt, true as overall_is_mean, true as verdict_follows", "")
+
+
 def _language_terms(name: str, source: str) -> str:
     return rf"""
 {name}_words as (

@@ -53,13 +53,14 @@ def judge_reviews(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Dat
 
     repaired = {name: _or_null(raw, name, rules.na_token) for name, kind in raw.dtypes if kind == "string"}
     for name in rules.doubles:
-        repaired[name] = _or_null(raw, name, rules.na_token).try_cast("double")
+        number = _or_null(raw, name, rules.na_token).try_cast("double")
+        repaired[name] = F.when(F.abs(number) < float("inf"), number)  # NaN counts as larger: neither is a number to average
     for name in rules.integers:
         repaired[name] = _or_null(raw, name, rules.na_token).try_cast("double").try_cast("int")
     typed = judged.withColumns(repaired)
 
     number_rules = [
-        (F.col(name).isNull() | F.isnan(name), f"unusable {name}") for name in rules.required_numbers
+        (F.col(name).isNull(), f"unusable {name}") for name in rules.required_numbers
     ]
     return typed.withColumn("outcome", F.coalesce("outcome", first_match(number_rules, KEPT)))
 

@@ -20,11 +20,15 @@ def dataset_overview(reviews: DataFrame) -> DataFrame:
 
 
 def review_preview(
-    reviews: DataFrame, columns: Sequence[str] | None = PREVIEW_COLUMNS, n: int = 200
+    reviews: DataFrame,
+    columns: Sequence[str] | None = PREVIEW_COLUMNS,
+    n: int = 200,
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """First ``n`` rows in the order of the shown columns; ``columns=None`` shows all.
+    """``n`` rows of the shown columns; ``columns=None`` shows all.
 
-    Sort and limit fuse into a per-partition top-n, so no full sort takes place.
+    Without ``order`` any rows, which reads no more than it shows.  ``order`` takes the first rows by these columns, each
+    task keeping its own first ``n``: name narrow columns, and attach texts to the result.
     """
-    shown = reviews.select(*columns) if columns else reviews
-    return shown.orderBy(*shown.columns).limit(n)
+    rows = reviews.orderBy(*order).limit(n) if order else reviews.limit(n)
+    return rows.select(*columns) if columns else rows

@@ -25,7 +25,6 @@ def hidden_risk(
         F.avg("score").alias("mean_score"),
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(F.col("score") <= disaster_score, 1)).alias("disaster_count"),
-        F.percentile_approx("score", 0.05, accuracy).alias("p05"),
     )
     scored = entities.withColumn(
         "disaster_pct", F.round(F.col("disaster_count") / F.col("n") * 100, 2)
@@ -34,5 +33,13 @@ def hidden_risk(
         (F.col("n") >= min_count)
         & (F.col("avg_prior") >= min_prior)
         & (F.col("disaster_pct") >= min_disaster_pct)
-    ).orderBy(F.desc("risk_index"), F.desc("disaster_pct"), "entity")
+    )
+    # the quantile keeps an object for each group, so only the entities that count get one
+    low = (
+        reviews.join(risky.select("entity"), "entity", "left_semi")
+        .groupBy("entity")
+        .agg(F.percentile_approx("score", 0.05, accuracy).alias("p05"))
+    )
+    columns = ["entity", "avg_prior", "mean_score", "n", "disaster_count", "p05", "disaster_pct", "risk_index"]
+    risky = risky.join(low, "entity").select(*columns).orderBy(F.desc("risk_index"), F.desc("disaster_pct"), "entity")
     return risky if top_k is None else risky.limit(top_k)

@@ -1,36 +1,28 @@
-"""Materialise the input of an iterative fit so that a lost executor costs no recomputation."""
+"""Keep the input of an iterative fit, in a layout that depends on its rows alone."""
 
 from __future__ import annotations
 
-import tempfile
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
 
+def durable(df: DataFrame, *keys: str, partitions: int = 8) -> DataFrame:
+    """The same rows, dealt to ``partitions`` by their keys and ordered inside, so that a fit
+    that reads rows in order gives the same model whatever the input's layout.
 
-def _use_checkpoint_dir(spark: SparkSession) -> None:
-    """Point Spark at the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would vanish with its executor.
+    With a checkpoint folder, the caller's own or that of ``spark.checkpoint.dir``, they are written there and a lost executor
+    costs no recomputation; without one they are persisted until ``release``.  Raise ``partitions`` with the number of rows.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
+    context = df.sparkSession.sparkContext
+    laid = df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None and shared:
         context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="opinara-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can read")
-
+    if context.getCheckpointDir() is not None:
+        return laid.checkpoint(eager=True)
+    return laid.persist(StorageLevel.MEMORY_AND_DISK)
 
-def durable(df: DataFrame, spread: bool = False) -> DataFrame:
-    """The same rows read back from reliable storage, with the lineage cut.
 
-    ``spread`` evens out the partitions first.  Vectors are far smaller than the
-    texts they come from, and every iteration of a fit pays for each partition,
-    so adaptive execution sizes them by what is stored rather than by the scan.
-    """
-    _use_checkpoint_dir(df.sparkSession)
-    return (df.hint("rebalance") if spread else df).checkpoint(eager=True)
+def release(df: DataFrame) -> None:
+    """Give up what ``durable`` persisted; nothing happens to a checkpoint."""
+    df.unpersist()

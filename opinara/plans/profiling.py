@@ -34,16 +34,17 @@ def cluster_entities(
     max_iter: int = 20,
     columns: Sequence[str] | None = None,
     problems: Sequence[str] | None = None,
+    partitions: int = 8,
 ) -> Profiles:
     """k-means over z-scored features.
 
     The features cost a pass over all reviews, the fit many passes over the
-    entities, so the features are stored once.  Rows are ordered inside their
-    partitions because the seeding of k-means reads them in order.
+    entities, so the features are stored once, in ``partitions`` by entity: the
+    seeding of k-means reads rows in order, so this number is part of the result.
     """
     names = list(columns or feature_columns())
     keys = [name for name in features.columns if name not in names]
-    stored = durable(features.sortWithinPartitions(*keys))
+    stored = durable(features, *keys, partitions=partitions)
 
     complete = reduce(and_, (F.col(name).isNotNull() for name in names))
     usable = stored.filter(complete)

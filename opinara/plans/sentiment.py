@@ -56,13 +56,14 @@ def sentiment_corpus(
 def sentiment_split(
     corpus: DataFrame,
     keys: Sequence[str],
-    sample_fraction: float = 0.3,
+    sample_fraction: float = 1.0,
     test_fraction: float = 0.2,
     seed: int = 42,
 ) -> DataFrame:
     """A keyed sample of the corpus with ``split`` = train or test.
 
-    Sample and split hash the key with different seeds, so they are independent.
+    Sample and split hash the key with different seeds, so they are independent.  A
+    ``sample_fraction`` below 1 leaves the other rows out of both parts.
     """
     drawn = corpus
     if sample_fraction < 1.0:
@@ -93,11 +94,12 @@ def train_sentiment(
     min_df: int = 5,
     max_iter: int = 10,
     reg_param: float = 0.01,
+    partitions: int = 8,
 ) -> Sentiment:
     """Word counts, inverse document frequency and logistic regression.
 
     The training texts are read twice, once for the vocabulary and once for the
-    count vectors; all iterations then run on the stored vectors.
+    count vectors; all iterations then run on the stored vectors, in ``partitions`` by text.
     """
     train = split.filter(F.col("split") == "train")
     words = vocabulary(sentiment_tokens(train), min_df, vocab_size).orderBy("idx").collect()
@@ -110,7 +112,7 @@ def train_sentiment(
         [row.term for row in words], inputCol="tokens", outputCol="counts"
     )
     counts = PipelineModel([tokenizer, remover, counter]).transform(train)
-    stored = durable(counts.select("label", "counts"), spread=True)
+    stored = durable(counts.select(F.xxhash64("review").alias("row"), "label", "counts"), "row", "label", partitions=partitions)
 
     idf = IDF(inputCol="counts", outputCol="features").fit(stored)
     classifier = LogisticRegression(maxIter=max_iter, regParam=reg_param).fit(idf.transform(stored))
@@ -140,9 +142,16 @@ def _metrics(train: DataFrame, predictions: DataFrame) -> DataFrame:
 
 
 def sentiment_examples(
-    predictions: DataFrame, keys: Sequence[str], n: int = 10, max_chars: int = 100, seed: int = 42
+    predictions: DataFrame, keys: Sequence[str], n: int = 10, max_chars: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """``n`` predictions for reading: words for the classes, the likelier class's probability."""
+    """``n`` predictions for reading: words for the classes, the likelier class's probability.
+
+    ``max_chars`` cuts longer texts short for display and marks the cut with dots.
+    """
+    text = F.col("review")
+    if max_chars is not None:
+        cut = F.concat(F.substring("review", 1, max_chars), F.lit("..."))
+        text = F.when(F.length("review") > max_chars, cut).otherwise(text)
 
     def word(name: str) -> Column:
         return first_match([(F.col(name) == 1.0, "Pos")], "Neg")
@@ -151,7 +160,7 @@ def sentiment_examples(
         predictions.orderBy(hash_order(*keys, seed=f"examples-{seed}"), *keys)
         .limit(n)
         .select(
-            F.concat(F.substring("review", 1, max_chars), F.lit("...")).alias("text"),
+            text.alias("text"),
             word("label").alias("label"),
             word("prediction").alias("prediction"),
             F.array_max(vector_to_array("probability")).alias("confidence"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel, RegexTokenizer, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions import first_match
 from opinara.operators.vocabulary import vocabulary
-from opinara.plans.durable import durable
+from opinara.plans.durable import durable, release
 
 # Text that stands for "nothing to complain about", tokens worth
 # keeping, and words too common in this domain to tell topics apart.
@@ -171,9 +170,15 @@ def fit_topics(
     min_chars: int = 30,
     sentinel: str = NO_COMPLAINT,
     extra_stop_words: Sequence[str] = DOMAIN_STOP_WORDS,
+    subsampling_rate: float = 1.0,
+    partitions: int = 8,
 ) -> Topics:
     """Online LDA over negative texts, with an optional second fit to test its stability.
 
+    Each iteration reads ``subsampling_rate`` of the texts, drawn anew: 1.0 reads all of them, smaller values make
+    iterations cheaper, and texts that no draw takes leave no trace in the topics.  Vectors lie in ``partitions`` by text,
+    a number that is part of the result.
+
     Both fits share the vocabulary and the stored count vectors, so no iteration
     tokenises again.
     """
@@ -187,19 +192,19 @@ def fit_topics(
     n_tokens = sum(row.term_count for row in rows)
 
     counter = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="features")
-    counts = counter.transform(tokens).select("features")
-    vectors = durable(counts, spread=True).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = counter.transform(tokens).select(F.xxhash64("review").alias("row"), "features")
+    vectors = durable(counts, "row", partitions=partitions)
     try:
-        model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed).fit(vectors)
+        model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed, subsamplingRate=subsampling_rate).fit(vectors)
         n_texts = vectors.count()
         likelihood = float(model.logLikelihood(vectors))
         described = topic_table(model, words, top_terms)
         stability = None
         if evaluate_stability:
-            other = LDA(k=k, maxIter=max_iter, optimizer="online", seed=alternative_seed).fit(vectors)
+            other = LDA(k=k, maxIter=max_iter, optimizer="online", seed=alternative_seed, subsamplingRate=subsampling_rate).fit(vectors)
             stability = stability_report(match_topics(described, topic_table(other, words, top_terms)))
     finally:
-        vectors.unpersist()
+        release(vectors)
     quality = _fit_table(spark, n_texts, len(words), n_tokens, likelihood)
     return Topics(model, words, topic_terms(described), quality, stability)
 

@@ -1,7 +1,8 @@
-"""Session factory for scripts; on a cluster the submit settings win."""
+"""Session factory for scripts; what is set already, by submit or by the running session, stays."""
 
 from __future__ import annotations
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
@@ -22,6 +23,8 @@ def get_session(app: str = "opinara", master: str | None = None, **conf: str) ->
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
+    known = SparkConf()
     for key, value in settings.items():
-        builder = builder.config(key, value)
+        if key in conf or not known.contains(key):
+            builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -1,8 +1,9 @@
-"""CSV of hotel reviews with a declared schema, so no pass is spent on inference."""
+"""CSV of hotel reviews, read as text, so no pass is spent on inference."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinara.operators.cleaning import CleaningRules, clean_reviews
@@ -35,23 +36,33 @@ RAW_CSV_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in _
 CSV_RULES = CleaningRules(integers=("total_reviews", "neg_words", "pos_words"))
 
 
+#: Roles a file must have a column for; the others are used when they are there.
+NEEDED = ("entity", "event_date", "neg_text", "pos_text", "lat", "lng", "prior_score", "score")
+
+
 def read_raw_hotel_csv(
-    spark: SparkSession, path: str, schema: T.StructType = RAW_CSV_SCHEMA, **options: str
+    spark: SparkSession, path: str, schema: T.StructType | None = None, **options: str
 ) -> DataFrame:
     """Raw reviews under role names.
 
-    Pass the ``schema`` of the file at hand when its columns differ; with
-    ``enforceSchema=false`` Spark checks it against the header.
+    The header names the columns, in any order and with others among them, and all are read as text; that takes a look at
+    the first line and no pass over the file.  Missing columns of ``NEEDED`` are an error, other roles' columns come back null.
+    With a ``schema`` Spark checks it against the header instead.
     """
     settings = {"header": "true", "enforceSchema": "false", **options}
-    rows = spark.read.schema(schema).options(**settings).csv(path)
-    return as_reviews(rows, HOTEL_CSV)
+    if schema is not None:
+        return as_reviews(spark.read.schema(schema).options(**settings).csv(path), HOTEL_CSV)
+    rows = spark.read.options(**settings).csv(path)
+    absent = {role: name for role, name in HOTEL_CSV.items() if name not in rows.columns}
+    if needed := sorted(absent[role] for role in NEEDED if role in absent):
+        raise ValueError(f"columns missing in {path}: {needed}")
+    return as_reviews(rows.withColumns({name: F.lit(None).cast("string") for name in absent.values()}), HOTEL_CSV)
 
 
 def read_hotel_csv(
     spark: SparkSession,
     path: str,
-    schema: T.StructType = RAW_CSV_SCHEMA,
+    schema: T.StructType | None = None,
     rules: CleaningRules = CSV_RULES,
     **options: str,
 ) -> DataFrame:

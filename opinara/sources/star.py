@@ -74,7 +74,7 @@ RAW_COLUMNS: dict[str, str] = {
     "lng": "case l_orderkey % 71 when 0 then '' when 1 then 'NaN' else cast(lng as varchar(20)) end",
     "prior_score": "case when l_orderkey % 67 = 0 then 'unknown' else cast(prior_score as varchar(20)) end",
     "total_reviews": "case when l_orderkey % 61 = 0 then 'many' else cast(total_reviews as varchar(20)) end",
-    "score": "case when l_orderkey % 59 = 0 then 'NA' else cast(score as varchar(20)) end",
+    "score": "case l_orderkey % 59 when 0 then 'NA' when 1 then 'NaN' when 2 then 'Infinity' else cast(score as varchar(20)) end",
     "segment": "case when l_orderkey % 53 = 0 then 'NA' else segment end",
     "tags": "tags",
 }
@@ -84,15 +84,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _joined(spark: SparkSession, sf_dir: str, needs: set[str]) -> DataFrame:
-    """Line items with the dimensions asked for.
+def _joined(spark: SparkSession, sf_dir: str, needs: set[str], lines: DataFrame | None = None) -> DataFrame:
+    """Line items, or the given ones of them, with the dimensions asked for.
 
     Every dimension is looked up by its key with an outer join, so the rows of
     the result do not depend on which dimensions take part.  No hint is given:
     Spark broadcasts a dimension only when its size allows and adaptive execution
     splits a skewed key otherwise.
     """
-    rows = table(spark, sf_dir, "lineitem")
+    rows = table(spark, sf_dir, "lineitem") if lines is None else lines
     if "orders" in needs:
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
         rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
@@ -119,9 +119,9 @@ def _joined(spark: SparkSession, sf_dir: str, needs: set[str]) -> DataFrame:
         documents = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("doc_text"))
         n_documents = documents.agg(F.count(F.lit(1))).scalar()
         keyed = rows.withColumn("doc_key", F.expr("l_orderkey * 8 + l_linenumber") % n_documents)
-        # This join widens a row from tens of bytes to kilobytes, so the still narrow
-        # rows are spread evenly first; otherwise few scan splits carry all the text.
-        rows = keyed.hint("rebalance").join(documents, F.col("doc_key") == F.col("doc_id"), "left")
+        # This join widens a row from tens of bytes to kilobytes, so the still narrow rows are
+        # spread by its key first: the one exchange serves a sort-merge join as well.
+        rows = keyed.repartition("doc_key").join(documents, F.col("doc_key") == F.col("doc_id"), "left")
     return rows
 
 
@@ -130,13 +130,14 @@ def reviews(
     sf_dir: str,
     columns: Sequence[str] = ALL_COLUMNS,
     keep: Sequence[str] = (),
+    lines: DataFrame | None = None,
 ) -> DataFrame:
-    """The review table, joining only what the asked-for columns need."""
+    """The review table, or that of given line items, joining only what the asked-for columns need."""
     counted = [name for name in columns if name in WORD_COLUMNS]
     base = [name for name in columns if name in REVIEW_COLUMNS]
     base += [WORD_COLUMNS[name][1] for name in counted if WORD_COLUMNS[name][1] not in base]
     needs = {need for name in base for need in REVIEW_COLUMNS[name][1]}
-    rows = _joined(spark, sf_dir, needs).select(
+    rows = _joined(spark, sf_dir, needs, lines).select(
         *keep, *(F.expr(REVIEW_COLUMNS[name][0]).alias(name) for name in base)
     )
     words = {name: F.expr(WORD_COLUMNS[name][0]) for name in counted}

@@ -84,13 +84,33 @@ def test_csv_with_declared_schema(spark, tmp_path):
         writer = csv.DictWriter(out, names)
         writer.writeheader()
         writer.writerows(lines)
-    df = read_hotel_csv(spark, str(path), multiLine="true")
+    df = read_hotel_csv(spark, str(path), RAW_CSV_SCHEMA, multiLine="true")
     found = df.orderBy("score").collect()
     assert [r.score for r in found] == [None, 2.9]
     assert found[1].neg_text == "small, dark\nroom" and found[1].neg_words == 3
     assert found[1].segment == " Russia " and "Hotel_Address" in df.columns
 
 
+def test_csv_with_another_header(spark, tmp_path):
+    path = tmp_path / "reviews.csv"
+    path.write_text(
+        "lng,Extra,Hotel_Name,Review_Date,Negative_Review,Positive_Review,lat,Average_Score,Reviewer_Score\n"
+        "4.9,x,Arena,8/3/2017,small,park,52.3,7.7,2.9\n4.9,x,Arena,8/3/2017,small,park,52.3,7.7,NaN\n"
+    )
+    found = read_hotel_csv(spark, str(path)).orderBy("score").collect()
+    assert [r.score for r in found] == [None, 2.9]
+    assert found[1].Extra == "x" and found[1].tags is None and found[1].lat == 52.3
+    path.write_text("Hotel_Name,lat\nArena,1\n")
+    with pytest.raises(ValueError, match="Negative_Review"):
+        read_hotel_csv(spark, str(path))
+
+
+@pytest.mark.parametrize("score", ["NaN", "Infinity", "-Infinity", "junk"])
+def test_scores_that_are_no_numbers_become_null(frame, score):
+    row = clean_reviews(raw(frame, score=score)).first()
+    assert row.score is None
+
+
 def test_role_names_are_checked(frame):
     with pytest.raises(ValueError):
         as_reviews(raw(frame), {"stars": "score"})

@@ -268,7 +268,8 @@ def test_map_points_keep_whole_entities(frame):
 def test_overview_and_preview(frame):
     df = frame([("b", 8.0), ("a", 7.0), ("a", None)], "entity string, prior_score double")
     assert rows(overview.dataset_overview(df)) == [{"n_reviews": 3, "avg_prior": 7.5, "n_entities": 2}]
-    assert rows(overview.review_preview(df, columns=None, n=2)) == [
+    assert len(rows(overview.review_preview(df, columns=None, n=2))) == 2
+    assert rows(overview.review_preview(df, columns=None, n=2, order=("entity", "prior_score"))) == [
         {"entity": "a", "prior_score": None}, {"entity": "a", "prior_score": 7.0},
     ]
 

@@ -32,7 +32,7 @@ def test_split_is_disjoint_complete_and_independent_of_the_sample(spark):
     whole = sentiment.sentiment_split(df, ["id"], sample_fraction=1.0)
     counts = {r.split: r["count"] for r in whole.groupBy("split").count().collect()}
     assert sum(counts.values()) == 20000 and 0.19 < counts["test"] / 20000 < 0.21
-    drawn = sentiment.sentiment_split(df, ["id"])
+    drawn = sentiment.sentiment_split(df, ["id"], sample_fraction=0.3)
     share = drawn.filter("split = 'test'").count() / drawn.count()
     assert 0.18 < share < 0.22 and 0.28 < drawn.count() / 20000 < 0.32
     assert drawn.exceptAll(whole).count() == 0
@@ -88,7 +88,10 @@ def test_model_learns_a_planted_signal_and_metrics_add_up(spark):
 
     shown = sentiment.sentiment_examples(fitted.predictions, ["id"]).collect()
     assert len(shown) == 10
-    assert all(r.text.endswith("...") and 0.5 <= r.confidence <= 1.0 for r in shown)
+    assert all(0.5 <= r.confidence <= 1.0 for r in shown)
+    assert {r.text for r in shown} <= {r.review for r in corpus.collect()}
+    short = sentiment.sentiment_examples(fitted.predictions, ["id"], max_chars=5).collect()
+    assert all(r.text.endswith("...") and len(r.text) == 8 for r in short)
     assert {r.label for r in shown} | {r.prediction for r in shown} <= {"Pos", "Neg"}
     scored = fitted.model.transform(corpus.limit(1)).first()
     assert scored.prediction in (0.0, 1.0)

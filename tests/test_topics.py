@@ -118,3 +118,18 @@ def test_small_corpus_and_empty_vocabulary(spark):
     assert empty.terms.columns == small.terms.columns
     row = empty.fit.first()
     assert (row.n_texts, row.n_words, row.log_perplexity) == (10, 0, None)
+
+
+@pytest.mark.parametrize("parts, coalesce", [(2, "true"), (5, "false"), (7, "false")])
+def test_topics_do_not_depend_on_the_layout(spark, parts, coalesce):
+    def terms(df):
+        fitted = topics.fit_topics(df, k=2, top_terms=4, min_df=5, evaluate_stability=False)
+        return [(r.topic, r.rank, r.term) for r in fitted.terms.orderBy("topic", "rank").collect()]
+
+    expected = terms(planted(spark))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        assert terms(planted(spark).repartition(parts)) == expected
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
