@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As ``stored``, as a table in the shared folder: Spark knows its size, and sends it to all tasks where that is small."""
+    ready(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Total bytes of the texts."""
     return docs.select(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0

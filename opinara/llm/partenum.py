@@ -4,8 +4,9 @@ Sets are dealt to bands of size; similar sets lie in one band or in neighbouring
 elements.  The domain of elements is cut into (k + 1) / 2 parts: in one of them the sets differ in at most one element.  Each part is cut in three: two
 of the thirds are then equal.  So a set's signatures are, for each part, the contents of two of its three thirds, and similar sets share one.
 
-Sets that share a signature are candidates and are compared exactly.  Candidates of one signature are compared with a few pivots, not with each other; those
-that a pivot joins to one component need no more; others go on with new pivots until every two of them are compared or connected.
+Sets that share a signature are candidates and are compared exactly, first with the first of them alone.  That connects almost all that are similar.  Where
+a signature's documents are still in several components, those outside the largest are compared with all the others, block by block, so no
+task holds more than two blocks and every two candidates are compared or connected.
 """
 
 from __future__ import annotations
@@ -15,17 +16,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opinara.llm.arrays import LOWER, Chunk, chunks, mix, ngrams, span_hashes, words
 from opinara.llm.blobs import joined, packed
 from opinara.llm.components import components
-from opinara.llm.durable import stored, text_bytes
+from opinara.llm.durable import stored, text_bytes, written
 
 BUCKET_BYTES = 4 << 20  # text for each bucket of signatures
 CHUNK = 2 << 20
-PIVOTS = 4  # of one signature, in one round
+BLOCK = 512  # sets on either side that are compared at once
 SIGNATURE = (1 << 40) - 1  # kept bits; equal ones by chance only cost a comparison
 
 
@@ -181,34 +181,93 @@ def _groups(table: pa.Table) -> pa.Table:
 
 
 def _sets(size: int):
+    """The shingles of each row's text, a column ``grams`` for ``text``; rows of one document stand together."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(1), CHUNK):
+            at = batch.schema.get_field_index("text")
+            kept = [j for j in range(batch.num_columns) if j != at]
+            for chunk in chunks(batch.column(at), CHUNK):
                 row, grams = shingles(chunk, size)
                 first = np.searchsorted(row, np.arange(len(chunk) + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(chunk.first, len(chunk)), pa.array([grams[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)], pa.binary())], names=["doc", "grams"]
-                )
+                blobs = pa.array([grams[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(batch.column(j).slice(chunk.first, len(chunk)) for j in kept), blobs], names=[*(batch.schema.names[j] for j in kept), "grams"])
 
     return run
 
 
-def _similar(percent: int):
-    """Of pairs with both sets, those that are similar."""
+def shared_counts(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of one sorted set with each of others."""
+    sizes = np.array([len(x) for x in others])
+    whole = np.concatenate(others)
+    at = np.searchsorted(own, whole)
+    hit = own[np.minimum(at, len(own) - 1)] == whole
+    return np.bincount(np.repeat(np.arange(len(others)), sizes)[hit], minlength=len(others))
+
+
+Row = tuple[int, int, np.ndarray]  # document, label, shingles
+
+
+def _links(left: list[Row], right: list[Row], percent: int) -> Iterator[tuple[int, int]]:
+    """Similar pairs of different labels; of each document on the left one pair for each label."""
+    sizes = np.array([len(r[2]) for r in right])
+    for doc, label, own in left:
+        if not len(own) or not len(right):
+            continue
+        both = shared_counts(own, [r[2] for r in right])
+        met: set[int] = set()
+        for j in np.flatnonzero((both > 0) & (100 * both >= percent * (len(own) + sizes - both))).tolist():
+            other, its, _ = right[j]
+            if its != label and other != doc and its not in met:
+                met.add(its)
+                yield doc, other
+
+
+def _match(percent: int):
+    """Links of each block, whose rows follow one another, those of the left first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, sides = None, ([], [])
+
+        def found() -> pa.RecordBatch:
+            pairs = list(_links(*sides, percent))
+            return pa.RecordBatch.from_arrays([pa.array([p[j] for p in pairs], pa.int64()) for j in (0, 1)], names=["a", "b"])
+
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.sort(np.concatenate([x, y]))
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(shared > 0 and 100 * shared >= percent * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("g", "i", "j", "side", "doc", "label")]
+            grams = batch.column(batch.schema.get_field_index("grams"))
+            for n, (g, i, j, side, doc, label) in enumerate(zip(*(c.to_pylist() for c in columns), strict=True)):
+                if (g, i, j) != block:
+                    if block:
+                        yield found()
+                    block, sides = (g, i, j), ([], [])
+                sides[side].append((doc, label, np.frombuffer(grams[n].as_buffer(), np.uint64).copy()))
+        if block:
+            yield found()
 
     return run
 
 
+def _compared(texts: DataFrame, left: DataFrame, right: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between the documents of the same group ``g`` on the left and on the right, (g, doc, label) each."""
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+
+    numbers = blocks(left, "rows").join(blocks(right, "columns"), "g")
+    spot = F.xxhash64("doc")
+    one = left.join(numbers, "g").select(
+        "g", F.pmod(spot, F.col("rows")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("j"), F.lit(0).alias("side"), "doc", "label"
+    )
+    other = right.join(numbers, "g").select(
+        "g", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), F.pmod(spot, F.col("columns")).cast("int").alias("j"), F.lit(1).alias("side"), "doc", "label"
+    )
+    members = written(one.unionByName(other))
+    columns = "g long, i int, j int, side int, doc long, label long"
+    sets = members.join(texts, "doc").select("g", "i", "j", "side", "doc", "label", "text").mapInArrow(_sets(size), f"{columns}, grams binary")
+    return sets.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side").mapInArrow(_match(percent), "a long, b long")
+
+
 def set_sizes(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
@@ -227,32 +286,25 @@ def similar_links(docs: DataFrame, key: str = "doc_id", text: str = "text", shin
     buckets = max(8, text_bytes(texts) // BUCKET_BYTES)
     run, schema = _send(shingle, percent, buckets)
     routed = texts.mapInArrow(run, schema).withColumn("target", F.coalesce("bucket", -1 - F.pmod("b", F.lit(buckets))))
-    groups = stored(routed.groupBy("target").applyInArrow(_groups, "grp long, size long, pivot long, doc long").distinct())
-    links = groups.where("size = 0").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
-    pairs = groups.where("size > 0 and pivot <> doc").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
-    open_groups = groups.where("size > 2 and pivot <> doc").select("grp", "doc").distinct()
-
-    asked = groups.where("size > 0").select("doc").distinct()
-    sets = stored(texts.join(asked, "doc", "left_semi").mapInArrow(_sets(shingle), "doc long, grams binary"))
-    one, other = sets.select(F.col("doc").alias("a"), F.col("grams").alias("x")), sets.select(F.col("doc").alias("b"), F.col("grams").alias("y"))
-
-    while True:
-        found = pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long")
-        links = stored(links.unionByName(found).distinct())
-        labels = components(links)
-        # members of a signature that are still in several components
-        member = open_groups.join(labels, F.col("doc") == F.col("node"), "left").select("grp", "doc", F.coalesce("label", "doc").alias("label"))
-        mixed = member.groupBy("grp").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("grp")
-        open_groups = stored(member.join(mixed, "grp", "left_semi"))
-        heads = open_groups.groupBy("grp", "label").agg(F.min("doc").alias("pivot"))
-        heads = heads.withColumn("n", F.row_number().over(W.partitionBy("grp").orderBy("pivot"))).where(F.col("n") <= PIVOTS)
-        heads = heads.select("grp", F.col("label").alias("own"), "pivot")
-        pairs = stored(
-            open_groups.join(heads, "grp").where("label <> own and doc <> pivot").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
-        )
-        if pairs.isEmpty():
-            return links, labels
-        open_groups = stored(open_groups.join(heads.select("grp", F.col("pivot").alias("doc")), ["grp", "doc"], "left_anti").select("grp", "doc"))
+    groups = written(routed.groupBy("target").applyInArrow(_groups, "grp long, size long, pivot long, doc long").distinct())
+    pivots = groups.where("size > 0").select(F.col("pivot").alias("g"), "doc").distinct()
+    first = pivots.select("g", F.col("g").alias("doc"), F.col("g").alias("label")).distinct()
+    rest = pivots.where("g <> doc").select("g", "doc", F.col("doc").alias("label"))
+    equal = groups.where("size = 0").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
+    links = stored(equal.unionByName(_compared(texts, first, rest, shingle, percent)).distinct())
+    labels = components(links)
+
+    # documents of a signature that are still in several components
+    member = groups.where("size > 2").join(labels, F.col("doc") == F.col("node"), "left").select(F.col("grp").alias("g"), "doc", F.coalesce("label", "doc").alias("label"))
+    counted = member.groupBy("g", "label").count()
+    largest = counted.groupBy("g").agg(F.max_by("label", F.struct("count", "label")).alias("largest"), F.count("*").alias("labels")).where("labels > 1").select("g", "largest")
+    mixed = stored(member.join(largest, "g"))
+    if mixed.isEmpty():
+        return links, labels
+    right = mixed.select("g", "doc", "label")
+    left = mixed.where("label <> largest").select("g", "doc", "label")
+    links = stored(links.unionByName(_compared(texts, left, right, shingle, percent)).distinct())
+    return links, components(links)
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
