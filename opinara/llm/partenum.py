@@ -4,7 +4,7 @@ Sets are dealt to bands of size; similar sets lie in one band or in neighbouring
 elements.  The domain of elements is cut into (k + 1) / 2 parts: in one of them the sets differ in at most one element.  Each part is cut in three: two
 of the thirds are then equal.  So a set's signatures are, for each part, the contents of two of its three thirds, and similar sets share one.
 
-Sets that share a signature are candidates and are compared exactly, first with the first of them alone.  That connects almost all that are similar.  Where
+Sets that share a signature are candidates and are compared exactly, first each with the smallest document it shares one with.  That connects almost all that are similar.  Where
 a signature's documents are still in several components, those outside the largest are compared with all the others, block by block, so no
 task holds more than two blocks and every two candidates are compared or connected.
 """
@@ -180,22 +180,6 @@ def _groups(table: pa.Table) -> pa.Table:
     )
 
 
-def _sets(size: int):
-    """The shingles of each row's text, a column ``grams`` for ``text``; rows of one document stand together."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            kept = [j for j in range(batch.num_columns) if j != at]
-            for chunk in chunks(batch.column(at), CHUNK):
-                row, grams = shingles(chunk, size)
-                first = np.searchsorted(row, np.arange(len(chunk) + 1))
-                blobs = pa.array([grams[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*(batch.column(j).slice(chunk.first, len(chunk)) for j in kept), blobs], names=[*(batch.schema.names[j] for j in kept), "grams"])
-
-    return run
-
-
 def shared_counts(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     """Size of the intersection of one sorted set with each of others."""
     sizes = np.array([len(x) for x in others])
@@ -223,7 +207,7 @@ def _links(left: list[Row], right: list[Row], percent: int) -> Iterator[tuple[in
                 yield doc, other
 
 
-def _match(percent: int):
+def _match(size: int, percent: int):
     """Links of each block, whose rows follow one another, those of the left first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,14 +218,16 @@ def _match(percent: int):
             return pa.RecordBatch.from_arrays([pa.array([p[j] for p in pairs], pa.int64()) for j in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("g", "i", "j", "side", "doc", "label")]
-            grams = batch.column(batch.schema.get_field_index("grams"))
-            for n, (g, i, j, side, doc, label) in enumerate(zip(*(c.to_pylist() for c in columns), strict=True)):
-                if (g, i, j) != block:
-                    if block:
-                        yield found()
-                    block, sides = (g, i, j), ([], [])
-                sides[side].append((doc, label, np.frombuffer(grams[n].as_buffer(), np.uint64).copy()))
+            rows = list(zip(*(batch.column(j).to_pylist() for j in range(6)), strict=True))
+            for chunk in chunks(batch.column(6), CHUNK):
+                owner, grams = shingles(chunk, size)
+                first = np.searchsorted(owner, np.arange(len(chunk) + 1))
+                for n, (g, i, j, side, doc, label) in enumerate(rows[chunk.first : chunk.first + len(chunk)]):
+                    if (g, i, j) != block:
+                        if block:
+                            yield found()
+                        block, sides = (g, i, j), ([], [])
+                    sides[side].append((doc, label, grams[first[n] : first[n + 1]].copy()))
         if block:
             yield found()
 
@@ -263,9 +249,9 @@ def _compared(texts: DataFrame, left: DataFrame, right: DataFrame, size: int, pe
         "g", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), F.pmod(spot, F.col("columns")).cast("int").alias("j"), F.lit(1).alias("side"), "doc", "label"
     )
     members = written(one.unionByName(other))
-    columns = "g long, i int, j int, side int, doc long, label long"
-    sets = members.join(texts, "doc").select("g", "i", "j", "side", "doc", "label", "text").mapInArrow(_sets(size), f"{columns}, grams binary")
-    return sets.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side").mapInArrow(_match(percent), "a long, b long")
+    # texts take a third of the room of their shingles' hashes, so they travel and are cut where they arrive
+    rows = members.join(texts, "doc").select("g", "i", "j", "side", "doc", "label", "text")
+    return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side").mapInArrow(_match(size, percent), "a long, b long")
 
 
 def set_sizes(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -287,15 +273,17 @@ def similar_links(docs: DataFrame, key: str = "doc_id", text: str = "text", shin
     run, schema = _send(shingle, percent, buckets)
     routed = texts.mapInArrow(run, schema).withColumn("target", F.coalesce("bucket", -1 - F.pmod("b", F.lit(buckets))))
     groups = written(routed.groupBy("target").applyInArrow(_groups, "grp long, size long, pivot long, doc long").distinct())
-    pivots = groups.where("size > 0").select(F.col("pivot").alias("g"), "doc").distinct()
-    first = pivots.select("g", F.col("g").alias("doc"), F.col("g").alias("label")).distinct()
-    rest = pivots.where("g <> doc").select("g", "doc", F.col("doc").alias("label"))
+    tested = groups.where("size > 0 and pivot <> doc").groupBy("doc").agg(F.min("pivot").alias("pivot"))
+    rest = tested.select(F.col("pivot").alias("g"), "doc", F.col("doc").alias("label"))
+    first = rest.select("g", F.col("g").alias("doc"), F.col("g").alias("label")).distinct()
     equal = groups.where("size = 0").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
     links = stored(equal.unionByName(_compared(texts, first, rest, shingle, percent)).distinct())
     labels = components(links)
 
     # documents of a signature that are still in several components
-    member = groups.where("size > 2").join(labels, F.col("doc") == F.col("node"), "left").select(F.col("grp").alias("g"), "doc", F.coalesce("label", "doc").alias("label"))
+    pairs = groups.where("size = 2 and pivot <> doc").join(tested, ["doc", "pivot"], "left_anti").select("grp").distinct()
+    asked = groups.where("size > 2").unionByName(groups.where("size = 2").join(pairs, "grp", "left_semi").select(*groups.columns))
+    member = asked.join(labels, F.col("doc") == F.col("node"), "left").select(F.col("grp").alias("g"), "doc", F.coalesce("label", "doc").alias("label"))
     counted = member.groupBy("g", "label").count()
     largest = counted.groupBy("g").agg(F.max_by("label", F.struct("count", "label")).alias("largest"), F.count("*").alias("labels")).where("labels > 1").select("g", "largest")
     mixed = stored(member.join(largest, "g"))
