@@ -4,9 +4,12 @@ Sets are dealt to bands of size; similar sets lie in one band or in neighbouring
 elements.  The domain of elements is cut into (k + 1) / 2 parts: in one of them the sets differ in at most one element.  Each part is cut in three: two
 of the thirds are then equal.  So a set's signatures are, for each part, the contents of two of its three thirds, and similar sets share one.
 
+Two empty thirds say little, and many sets would share them.  So there are a few parts more than needed: similar sets agree in more parts than one, and a
+set with no more thin parts than that (parts with two empty thirds) leaves their signatures out, as one of the agreeing parts has others.
+
 Sets that share a signature are candidates and are compared exactly, first each with the smallest document it shares one with.  That connects almost all that are similar.  Where
-a signature's documents are still in several components, those outside the largest are compared with all the others, block by block, so no
-task holds more than two blocks and every two candidates are compared or connected.
+a signature's documents are still in several components, it is joined with other such signatures of the same first document, and the documents outside the
+largest component are compared with all the others, block by block: no task holds more than two blocks, and every two candidates are compared or connected.
 """
 
 from __future__ import annotations
@@ -58,13 +61,16 @@ class Bands:
     def __init__(self, percent: int) -> None:
         self.percent = percent
         self.low, self.parts = [1], []
+        self.spare: list[int] = []  # parts beyond those needed for one to differ in at most one element
 
     def grow(self, largest: int) -> None:
         p = self.percent
         while not self.parts or self.low[-1] <= largest:
             high = self.low[-1] * 100 // p
             differ = (high + high * 100 // p) * (100 - p) // (100 + p)
-            self.parts.append((differ + 2) // 2 if differ else 0)  # 0: the sets are equal
+            parts = (differ + 2) // 2
+            self.spare.append(2 + parts // 20)
+            self.parts.append(parts + self.spare[-1] if differ else 0)  # 0: the sets are equal
             self.low.append(high + 1)
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
@@ -76,7 +82,7 @@ def signatures(row: np.ndarray, grams: np.ndarray, sizes: np.ndarray, bands: Ban
     """(row, signature) of the sets of a chunk; a set gets those of its own band and of the one below."""
     out_row, out = [], []
     band = bands.of(sizes)
-    parts_of = np.array(bands.parts, np.int64)
+    parts_of, spare_of = np.array(bands.parts, np.int64), np.array(bands.spare, np.int64)
     third = (mix(grams ^ np.uint64(0x51)) % np.uint64(3)).astype(np.int64)
     spot = mix(grams ^ np.uint64(0xA7)) >> np.uint64(32)
     value = mix(grams ^ np.uint64(0x3D))
@@ -93,9 +99,13 @@ def signatures(row: np.ndarray, grams: np.ndarray, sizes: np.ndarray, bands: Ban
         np.add.at(sums.reshape(-1), cell * 3 + third[keep], value[keep])
         owner = np.repeat(np.arange(len(sizes)), parts)
         number = np.arange(len(owner)) - base[owner]
+        filled = np.bincount(cell * 3 + third[keep], minlength=len(owner) * 3).reshape(-1, 3)
+        filled = filled.sum(1, keepdims=True) - filled > 0
+        thin = np.bincount(owner[~filled.all(1)], minlength=len(sizes))
+        drop = (thin <= spare_of[np.maximum(tag, 0)])[owner]  # this set has a part that agrees and isn't thin
         total = sums.sum(1, dtype=np.uint64)
         for e in range(3):
-            some = slice(None) if e == 0 else ~whole[owner]
+            some = ~(drop & ~filled[:, e]) & ~whole[owner] | whole[owner] & (e == 0)
             kept = np.where(whole[owner], total, total - sums[:, e])[some]
             place = mix((tag[owner] * 1_000_003 + number * 4 + e)[some].astype(np.uint64))
             out_row.append(owner[some])
@@ -283,12 +293,15 @@ def similar_links(docs: DataFrame, key: str = "doc_id", text: str = "text", shin
     # documents of a signature that are still in several components
     pairs = groups.where("size = 2 and pivot <> doc").join(tested, ["doc", "pivot"], "left_anti").select("grp").distinct()
     asked = groups.where("size > 2").unionByName(groups.where("size = 2").join(pairs, "grp", "left_semi").select(*groups.columns))
-    member = asked.join(labels, F.col("doc") == F.col("node"), "left").select(F.col("grp").alias("g"), "doc", F.coalesce("label", "doc").alias("label"))
-    counted = member.groupBy("g", "label").count()
-    largest = counted.groupBy("g").agg(F.max_by("label", F.struct("count", "label")).alias("largest"), F.count("*").alias("labels")).where("labels > 1").select("g", "largest")
-    mixed = stored(member.join(largest, "g"))
-    if mixed.isEmpty():
+    member = asked.join(labels, F.col("doc") == F.col("node"), "left").select("grp", "pivot", "doc", F.coalesce("label", "doc").alias("label"))
+    apart = member.groupBy("grp").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("grp")
+    apart = stored(member.join(apart, "grp", "left_semi").select("pivot", "doc", "label").distinct())
+    if apart.isEmpty():
         return links, labels
+    # signatures with the same first document are one group, so a document travels once and not with each of them
+    whole = apart.withColumnRenamed("pivot", "g")
+    largest = whole.groupBy("g", "label").count().groupBy("g").agg(F.max_by("label", F.struct("count", "label")).alias("largest"))
+    mixed = stored(whole.join(largest, "g"))
     right = mixed.select("g", "doc", "label")
     left = mixed.where("label <> largest").select("g", "doc", "label")
     links = stored(links.unionByName(_compared(texts, left, right, shingle, percent)).distinct())
