@@ -139,6 +139,11 @@ def keyword_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keywords.keyword_verdict(keyword_impact(spark, sf_dir))
 
 
+@query
+def keyword_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keywords.keyword_summary(star.reviews(spark, sf_dir, ("neg_text", "score")), KEYWORDS)
+
+
 # --- travellers, lengths ----------------------------------------------------
 
 

@@ -226,6 +226,24 @@ from sides where diff is not null""",
     _IMPACT,
 )
 
+check(
+    "keyword_summary",
+    f""",
+per_keyword as (
+  select {_HIT} as has_keyword, case when {_HIT} then lower({_FOUND}) end as keyword, count(*) as n_keyword from reviews group by 1, 2
+),
+sides as (
+  select max(mean_score) filter (has_keyword) as mean_hit, max(mean_score) filter (not has_keyword) as mean_other,
+         round(max(ci95) filter (has_keyword) + max(ci95) filter (not has_keyword), 3) as threshold
+  from impact
+),
+judged as (select *, round(mean_hit - mean_other, 3) as diff from sides)
+select p.has_keyword, p.keyword, p.n_keyword, i.n, i.mean_score, i.std_score, i.ci95, mean_hit, mean_other, diff, threshold,
+       case when diff is null then null when diff < -coalesce(threshold, 0.3e0) then 'strong' when diff < 0 then 'mild' else 'none' end as verdict
+from per_keyword p join impact i on p.has_keyword is not distinct from i.has_keyword cross join judged""",
+    _IMPACT,
+)
+
 # --- travellers, lengths ----------------------------------------------------
 
 _TRAVELLER = """case when lower(tags) like '%solo traveler%' then 'Solo' when lower(tags) like '%family%' then 'Family'

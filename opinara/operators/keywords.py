@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opinara.functions import ci95, first_match, hash_order, rounded, score_stats
@@ -108,6 +109,57 @@ def keyword_verdict(impact: DataFrame) -> DataFrame:
     )
 
 
+def keyword_summary(reviews: DataFrame, words: Sequence[str] = BUILDING_WORKS, keep_case: bool = False) -> DataFrame:
+    """Impact, frequency and verdict of one list of words in a single pass over the texts.
+
+    A row per flag and first keyword: ``n_keyword`` reviews with it, then the figures of all reviews with that flag
+    as in ``keyword_impact``, and the means, difference, threshold and verdict of the whole, as in ``keyword_verdict`` (nulls
+    where a side has no mean).  Reviews without a keyword have a null one; those without text a null flag too.
+
+    The texts are reduced to counts, means and squared deviations per keyword, which merge; the windows see that table only.
+    """
+    per_keyword = (
+        reviews.withColumn("has_keyword", _has_keyword(words))
+        .withColumn("keyword", _first_keyword(words, keep_case))
+        .groupBy("has_keyword", "keyword")
+        .agg(
+            F.count(F.lit(1)).alias("n_keyword"),
+            F.count("score").alias("n_score"),
+            F.avg("score").alias("mean"),
+            (F.var_pop("score") * F.count("score")).alias("m2"),
+        )
+    )
+    flag, whole = W.partitionBy("has_keyword"), W.partitionBy(F.lit(1))
+    n_score = F.sum("n_score").over(flag)
+    merged = per_keyword.withColumn("n", F.sum("n_keyword").over(flag)).withColumn(
+        "mean_flag", F.sum(F.col("mean") * F.col("n_score")).over(flag) / F.nullif(n_score, F.lit(0))
+    )
+    spread = F.sum(F.col("m2") + F.col("n_score") * F.pow(F.col("mean") - F.col("mean_flag"), 2)).over(flag)
+    std = F.when(n_score > 1, F.sqrt(spread / (n_score - 1)))
+    flags = merged.withColumn("std_flag", std).select(
+        "has_keyword",
+        "keyword",
+        "n_keyword",
+        "n",
+        F.round("mean_flag", 3).alias("mean_score"),
+        F.round("std_flag", 3).alias("std_score"),
+        F.round(ci95(F.col("std_flag"), F.col("n")), 3).alias("ci95"),
+    )
+
+    def side(name: str, hit: bool) -> Column:
+        return F.max(F.when(F.col("has_keyword") == hit, F.col(name))).over(whole)
+
+    judged = (
+        flags.withColumn("mean_hit", side("mean_score", True))
+        .withColumn("mean_other", side("mean_score", False))
+        .withColumn("diff", F.round(F.col("mean_hit") - F.col("mean_other"), 3))
+        .withColumn("threshold", F.round(side("ci95", True) + side("ci95", False), 3))
+    )
+    diff, strong = F.col("diff"), F.coalesce("threshold", F.lit(PLAIN_EFFECT))
+    verdict = first_match([(diff < -strong, "strong"), (diff < 0, "mild")], "none")
+    return judged.withColumn("verdict", F.when(diff.isNotNull(), verdict)).orderBy("has_keyword", F.desc("n_keyword"), "keyword")
+
+
 @dataclass(frozen=True)
 class KeywordReport:
     impact: DataFrame
@@ -121,8 +173,7 @@ def keyword_report(
 ) -> KeywordReport:
     """All keyword tables of one list of words.
 
-    They are separate plans over ``reviews``.  Where building that table is dear,
-    persist its ``entity, score, neg_text`` columns before and release them after.
+    They are separate plans over ``reviews``; ``keyword_summary`` has all but the samples in one pass.
     """
     impact = keyword_impact(reviews, words)
     return KeywordReport(

@@ -96,6 +96,19 @@ def test_keyword_samples_repeat_whatever_the_partitioning(frame):
     assert first == again and len(first) == 2
 
 
+def test_keyword_summary_agrees_with_the_single_tables(frame):
+    df = texts(frame)
+    found = rows(keywords.keyword_summary(df))
+    impact = {r["has_keyword"]: r for r in rows(keywords.keyword_impact(df))}
+    assert {r["has_keyword"] for r in found} == set(impact)
+    for r in found:
+        assert all(r[c] == impact[r["has_keyword"]][c] for c in ("n", "mean_score", "std_score", "ci95"))
+    counts = {r["keyword"]: r["n_keyword"] for r in found if r["keyword"] is not None}
+    assert counts == {r["keyword"]: r["n"] for r in rows(keywords.keyword_frequency(df))}
+    verdict = rows(keywords.keyword_verdict(keywords.keyword_impact(df)))
+    assert {(r["diff"], r["threshold"], r["verdict"]) for r in found} == {(v["diff"], v["threshold"], v["verdict"]) for v in verdict}
+
+
 def test_keyword_report_bundles_the_tables(frame):
     report = keywords.keyword_report(texts(frame), sample_size=1)
     assert rows(report.impact) == rows(keywords.keyword_impact(texts(frame)))
