@@ -20,8 +20,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from opinara.llm.durable import stored
+from opinara.llm.durable import stored, written
 
 END = 0  # class of the end token; class of what stands before a text
 SHAPES = 8  # classes 1 to 8: words outside the head, by shape
@@ -100,31 +101,42 @@ class Head:
         return np.concatenate([self.classes, np.arange(SHAPES + 1)])
 
 
-def _stream(batch: pa.RecordBatch, head: Head, index: dict[bytes, int]) -> Iterator[np.ndarray]:
-    """Numbers of the tokens of each text."""
-    for value in batch.column(0):
-        yield head.ids(index, tokens(value.as_py()))
+def numbered(docs: DataFrame, head: Head) -> DataFrame:
+    """The numbers of each text's tokens (``Head.ids``) as bytes, kept in the shared folder: all passes but the first read these and not the texts."""
+    kind = number_type(head)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = head.index()
+        for batch in batches:
+            out = [head.ids(index, tokens(value.as_py())).astype(kind).tobytes() for value in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["numbers"])
+
+    return written(docs.mapInArrow(run, "numbers binary"))
+
+
+def number_type(head: Head) -> np.dtype:
+    return np.min_scalar_type(len(head.words) + SHAPES)
 
 
 PARTS = 64  # pieces in which a task hands on a table of counts
 
 
-def _summed(docs: DataFrame, size: int, head: Head, count) -> np.ndarray:
-    """Sum over all tasks of a table with ``size`` numbers; ``count(numbers, table)`` adds the tokens of some texts.
+def _summed(numbers: DataFrame, size: int, kind: np.dtype, count) -> np.ndarray:
+    """Sum over all tasks of a table with ``size`` numbers; ``count(texts, table)`` adds the token numbers of some texts.
 
     Tasks hand on compressed parts of their tables; parts with the same number meet, so the driver gets one table.
     """
     width = -(-size // PARTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, index, seen = np.zeros(width * PARTS, np.int64), head.index(), False
+        table, seen = np.zeros(width * PARTS, np.int64), False
         for batch in batches:
             seen = True
             held: list[np.ndarray] = []
             waiting = 0
-            for numbers in _stream(batch, head, index):
-                held.append(numbers)
-                waiting += len(numbers)
+            for value in batch.column(0):
+                held.append(np.frombuffer(value.as_buffer(), kind).astype(np.int64))
+                waiting += len(held[-1])
                 if waiting > 500_000:
                     count(held, table)
                     held, waiting = [], 0
@@ -143,14 +155,14 @@ def _summed(docs: DataFrame, size: int, head: Head, count) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([pack(t.tobytes()) for t in sums.values()], pa.binary())], names=["part", "table"])
 
     schema = "part long, table binary"
-    rows = docs.mapInArrow(run, schema).repartition(PARTS, "part").mapInArrow(add, schema).collect()
+    rows = numbers.mapInArrow(run, schema).repartition(PARTS, "part").mapInArrow(add, schema).collect()
     table = np.zeros((PARTS, width), np.int64)
     for r in rows:
         table[r["part"]] = np.frombuffer(zstandard.decompress(r["table"]), np.int64)
     return table.ravel()[:size]
 
 
-def neighbours(docs: DataFrame, head: Head, moving: int) -> tuple[np.ndarray, np.ndarray]:
+def neighbours(numbers: DataFrame, head: Head, moving: int) -> tuple[np.ndarray, np.ndarray]:
     """For each of the first ``moving`` words how often each class follows it and precedes it, and the class bigrams."""
     c = head.n_classes
     by_number = head.class_table()
@@ -176,7 +188,7 @@ def neighbours(docs: DataFrame, head: Head, moving: int) -> tuple[np.ndarray, np
         pairs[END * c + END] += int((sizes == 0).sum())
         table[2 * cells : 2 * cells + c * c] += pairs
 
-    table = _summed(docs, 2 * cells + c * c, head, count)
+    table = _summed(numbers, 2 * cells + c * c, number_type(head), count)
     return table[: 2 * cells].reshape(2, moving, c), table[2 * cells :].reshape(c, c)
 
 
@@ -215,7 +227,12 @@ def exchange(near: np.ndarray, pairs: np.ndarray, head: Head, movable: np.ndarra
     return classes
 
 
-def clustered(docs: DataFrame, head: Head, moving: int, rounds: int) -> Head:
+def clustered(docs: DataFrame, head: Head, moving: int, rounds: int, text: str = "text") -> Head:
+    """``exchanged`` for texts."""
+    return exchanged(numbered(docs.select(text), head), head, moving, rounds)
+
+
+def exchanged(numbers: DataFrame, head: Head, moving: int, rounds: int) -> Head:
     """Exchange clustering: the ``moving`` most frequent words start in classes of their own or, from the ``classes``-th on,
     by rank; every round counts their neighbours' classes over all texts and moves them.  In later rounds every other word may move,
     so that neighbours don't swap places."""
@@ -223,7 +240,7 @@ def clustered(docs: DataFrame, head: Head, moving: int, rounds: int) -> Head:
     for turn in range(rounds):
         if not moving:
             break
-        near, pairs = neighbours(docs, head, moving)
+        near, pairs = neighbours(numbers, head, moving)
         movable = np.ones(moving, bool) if turn == 0 else np.arange(moving) % 2 == turn % 2
         head.classes = exchange(near, pairs, head, movable)
     return head
@@ -242,16 +259,16 @@ class Model:
     tail_words: np.ndarray
 
 
-def transitions(docs: DataFrame, head: Head) -> np.ndarray:
+def transitions(numbers: DataFrame, head: Head) -> np.ndarray:
     """Class trigrams over all texts, two starts before each and one end after it."""
     c = head.n_classes
     by_number = head.class_table()
 
     def count(texts: list[np.ndarray], table: np.ndarray) -> None:
-        for numbers in _padded(texts, by_number):
-            table += np.bincount((numbers[:-2] * c + numbers[1:-1]) * c + numbers[2:], minlength=len(table)) - _between(texts, numbers, c, len(table))
+        for row in _padded(texts, by_number):
+            table += np.bincount((row[:-2] * c + row[1:-1]) * c + row[2:], minlength=len(table)) - _between(texts, row, c, len(table))
 
-    return _summed(docs, c**3, head, count).reshape(c, c, c)
+    return _summed(numbers, c**3, number_type(head), count).reshape(c, c, c)
 
 
 def _padded(texts: list[np.ndarray], by_number: np.ndarray) -> Iterator[np.ndarray]:
@@ -305,7 +322,8 @@ def scores(
     head = Head([bytes(r["word"]) for r in top], np.array([r["n"] for r in top], np.int64), np.zeros(0, np.int64), n_classes)
     rank = np.arange(len(top))
     head.classes = 1 + SHAPES + np.where(rank < classes, rank, rank % classes)
-    head = clustered(train, head, moving, rounds)
+    numbers = numbered(train, head)
+    head = exchanged(numbers, head, moving, rounds)
 
     tail = counts.where(~_in_head(head)) if top else counts
     by_shape = {r["shape"]: r for r in tail.groupBy(shape_column("word").alias("shape")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
@@ -313,7 +331,7 @@ def scores(
     tail_words = np.array([by_shape[s]["v"] if s in by_shape else 0 for s in range(SHAPES + 1)], float)
     in_class = np.bincount(head.classes, weights=head.counts, minlength=n_classes)
     emission = np.concatenate([np.log10(head.counts / in_class[head.classes]) if len(top) else np.zeros(0), np.zeros(SHAPES + 1)])
-    model = Model(head, np.log10(smoothed(transitions(train, head))), emission, total, distinct, tail_tokens, tail_words)
+    model = Model(head, np.log10(smoothed(transitions(numbers, head))), emission, total, distinct, tail_tokens, tail_words)
     return _scored(rows, counts, model, ends).withColumnRenamed("key", key)
 
 
@@ -336,7 +354,7 @@ def _scored(rows: DataFrame, counts: DataFrame, model: Model, ends: int) -> Data
         index = head.index()
         flat = model.trigram.ravel()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            ids, texts = batch.column(0).to_pylist(), batch.column(3)
             row, word, times, own = [], [], [], []
             for i, value in zip(ids, texts, strict=True):
                 found = tokens(value.as_py())
@@ -350,36 +368,40 @@ def _scored(rows: DataFrame, counts: DataFrame, model: Model, ends: int) -> Data
                 word += seen.keys()
                 times += seen.values()
                 if len(row) > 100_000:
-                    yield _parts(row, word, times, np.zeros((len(row), 4)))
+                    yield _parts(row, word, times, pa.nulls(len(row), own_type))
                     row, word, times = [], [], []
-            yield _parts(row, word, times, np.zeros((len(row), 4)))
+            yield _parts(row, word, times, pa.nulls(len(row), own_type))
             # a row's own figures go under a mark that is no word, as it has a space: it meets no count and spreads evenly
-            yield _parts(ids, [b" %d" % i for i in ids], [0] * len(ids), np.array(own, float).reshape(-1, 4))
-
-    keyed = rows.withColumn("row", F.monotonically_increasing_id())
-    tails = keyed.select("row", "text").mapInArrow(run, PARTS_OF)
-    kind = shape_column("word")
-    tokens_of = F.element_at(F.array(*[F.lit(float(x)) for x in model.tail_tokens]), kind + 1)
-    words_of = F.element_at(F.array(*[F.lit(float(x)) for x in model.tail_words]), kind + 1)
+            figures = [pa.array([o[j] for o in own], t.type) for j, t in enumerate(list(own_type)[2:])]
+            own_part = pa.StructArray.from_arrays([batch.column(1).cast(own_type[0].type), batch.column(2), *figures], fields=list(own_type))
+            yield _parts(ids, [b" %d" % i for i in ids], [0] * len(ids), own_part)
+
+    # the number is drawn once and a row's key goes with its own figures: another evaluation could number the rows otherwise
+    keyed = rows.select(F.monotonically_increasing_id().alias("row"), "key", "held_out", "text")
+    kind = rows.schema["key"].dataType
+    own_type = pa.struct(
+        [("key", to_arrow_type(kind)), ("held_out", pa.bool_()), ("tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
+    )
+    own_of = f"struct<key: {kind.simpleString()}, held_out: boolean, tokens: long, known: long, base: double, score: double>"
+    tails = keyed.mapInArrow(run, f"row long, word binary, times long, own {own_of}")
+    shape_of = shape_column("word")
+    tokens_of = F.element_at(F.array(*[F.lit(float(x)) for x in model.tail_tokens]), shape_of + 1)
+    words_of = F.element_at(F.array(*[F.lit(float(x)) for x in model.tail_words]), shape_of + 1)
     seen = F.coalesce("n", F.lit(0))
     parts = (
         tails.join(counts, "word", "left")
         .groupBy("row")
         .agg(
-            F.sum("tokens").alias("n_tokens"),
-            F.sum(F.col("known") + F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_known"),
-            F.sum(F.col("base") + F.col("times") * F.log10((seen + ALPHA) / F.lit(float(scale)))).alias("base_score"),
-            F.sum(F.col("own") + F.col("times") * F.log10((seen + ALPHA) / (tokens_of + ALPHA * (words_of + 1)))).alias("score"),
+            F.max("own.key").alias("key"),
+            F.max("own.held_out").alias("held_out"),
+            F.max("own.tokens").alias("n_tokens"),
+            (F.max("own.known") + F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0))).alias("n_known"),
+            (F.max("own.base") + F.sum(F.col("times") * F.log10((seen + ALPHA) / F.lit(float(scale))))).alias("base_score"),
+            (F.max("own.score") + F.sum(F.col("times") * F.log10((seen + ALPHA) / (tokens_of + ALPHA * (words_of + 1))))).alias("score"),
         )
     )
-    return keyed.select("row", "key", "held_out").join(parts, "row").select("key", "held_out", "n_tokens", "n_known", F.lit(int(model.total)).cast("long").alias("train_tokens"), "base_score", "score")
+    return parts.select("key", "held_out", "n_tokens", "n_known", F.lit(int(model.total)).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-PARTS_OF = "row long, word binary, times long, tokens long, known long, base double, own double"
-
-
-def _parts(row: list[int], word: list[bytes], times: list[int], figures: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(row, pa.int64()), pa.array(word, pa.binary()), pa.array(times, pa.int64()), *(pa.array(figures[:, j].astype(np.int64)) for j in (0, 1)), *(pa.array(figures[:, j].copy()) for j in (2, 3))],
-        names=["row", "word", "times", "tokens", "known", "base", "own"],
-    )
+def _parts(row: list[int], word: list[bytes], times: list[int], own: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(word, pa.binary()), pa.array(times, pa.int64()), own], names=["row", "word", "times", "own"])
