@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 MARK = "▁"
 CACHE = 300_000  # words whose ids a task remembers
@@ -172,15 +173,17 @@ ROWS = 1500  # texts encoded together
 
 
 def _mapped(df: DataFrame, column: str, name: str, kind: str, each: Callable[[list], pa.Array]) -> DataFrame:
-    """``df`` with one more column made from ``column``, some rows at a time."""
-    at = df.columns.index(column)
-    schema = df.schema.add(name, kind)
+    """``df`` with one more column made from ``column``, some rows at a time; a column that has the name already is replaced."""
+    if name != column:
+        df = df.drop(name)
+    at, kept = df.columns.index(column), [i for i, c in enumerate(df.columns) if c != name]
+    schema = StructType([df.schema.fields[i] for i in kept] + StructType.fromDDL(f"`{name}` {kind}").fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
                 part = batch.slice(first, ROWS)
-                yield pa.RecordBatch.from_arrays([*part.columns, each(part.column(at))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in kept), each(part.column(at))], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
