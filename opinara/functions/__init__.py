@@ -3,7 +3,7 @@
 from opinara.functions.bins import PRESTIGE_BINS, SCORE_BINS, Bins
 from opinara.functions.categories import first_match
 from opinara.functions.sampling import hash_order, in_fraction
-from opinara.functions.stats import ci95, rounded, score_stats, share
+from opinara.functions.stats import ci95, rated, rounded, score_stats, share
 
 __all__ = [
     "PRESTIGE_BINS",
@@ -13,6 +13,7 @@ __all__ = [
     "first_match",
     "hash_order",
     "in_fraction",
+    "rated",
     "rounded",
     "score_stats",
     "share",

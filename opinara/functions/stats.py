@@ -30,5 +30,10 @@ def ci95(std: Column, n: Column) -> Column:
     return F.lit(1.96) * (std / F.sqrt(n))
 
 
+def rated(reviews: DataFrame, drop_null_score: bool) -> DataFrame:
+    """All reviews, or only those with a score: by default a missing score counts in group sizes and percentages."""
+    return reviews.filter(F.col("score").isNotNull()) if drop_null_score else reviews
+
+
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in columns})

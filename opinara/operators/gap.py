@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.functions import PRESTIGE_BINS, Bins, first_match, rounded, share
+from opinara.functions import PRESTIGE_BINS, Bins, first_match, rated, rounded, share
 
 # Fixed value: difference of shortfalls from which one band counts as harsher.
 HARSHER_BY = 0.30
 
 
-def expectation_gap(reviews: DataFrame, min_count: int = 0, bins: Bins = PRESTIGE_BINS) -> DataFrame:
+def expectation_gap(
+    reviews: DataFrame, min_count: int = 0, bins: Bins = PRESTIGE_BINS, drop_null_score: bool = False
+) -> DataFrame:
     """Per prestige band: mean gap, share of reviews below expectation, mean shortfall."""
     gap = F.col("score") - F.col("prior_score")
-    bands = reviews.groupBy(bins.id(F.col("prior_score")).alias("bucket_id")).agg(
+    bands = rated(reviews, drop_null_score).groupBy(bins.id(F.col("prior_score")).alias("bucket_id")).agg(
         F.avg(gap).alias("avg_gap"),
         share(gap < 0).alias("pct_below"),
         F.coalesce(F.avg(F.when(gap < 0, gap)), F.lit(0.0)).alias("mean_shortfall"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from opinara.functions import ci95, first_match, hash_order, rounded, score_stats
+from opinara.functions import ci95, first_match, hash_order, rated, rounded, score_stats
 from opinara.functions.text import mentions, whole_word
 
 # Words that tell of building works.
@@ -31,12 +31,14 @@ def _has_keyword(words: Sequence[str]) -> Column:
     return mentions(F.col("neg_text"), words, whole_word(words))
 
 
-def keyword_impact(reviews: DataFrame, words: Sequence[str] = BUILDING_WORKS) -> DataFrame:
+def keyword_impact(
+    reviews: DataFrame, words: Sequence[str] = BUILDING_WORKS, drop_null_score: bool = False
+) -> DataFrame:
     """Score statistics of reviews with and without the keyword.
 
     Reviews without negative text form a third group whose flag is null.
     """
-    stats = score_stats(reviews, _has_keyword(words).alias("has_keyword"))
+    stats = score_stats(rated(reviews, drop_null_score), _has_keyword(words).alias("has_keyword"))
     with_ci = stats.withColumn("ci95", ci95(F.col("std_score"), F.col("n")))
     return rounded(with_ci, 3, "mean_score", "std_score", "ci95").orderBy("has_keyword")
 

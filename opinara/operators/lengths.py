@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.functions import SCORE_BINS, Bins, first_match, rounded, share
+from opinara.functions import SCORE_BINS, Bins, first_match, rated, rounded, share
 
 # Shortest mean positive text with a meaningful ratio, and the
 # surplus of negative words from which a bucket is said to vent.
@@ -13,9 +13,9 @@ MIN_POSITIVE_WORDS = 3.0
 VENTING_WORDS = 10.0
 
 
-def length_asymmetry(reviews: DataFrame, bins: Bins = SCORE_BINS) -> DataFrame:
+def length_asymmetry(reviews: DataFrame, bins: Bins = SCORE_BINS, drop_null_score: bool = False) -> DataFrame:
     """Per score bucket: mean word counts, share of reviews with text, difference and ratio."""
-    buckets = reviews.groupBy(bins.id(F.col("score")).alias("bucket_id")).agg(
+    buckets = rated(reviews, drop_null_score).groupBy(bins.id(F.col("score")).alias("bucket_id")).agg(
         F.avg("neg_words").alias("avg_neg_words"),
         F.avg("pos_words").alias("avg_pos_words"),
         share(F.col("neg_words") > 0).alias("pct_has_neg"),

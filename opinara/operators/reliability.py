@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.functions import rounded, score_stats
+from opinara.functions import rated, rounded, score_stats
 
 
-def score_reliability(reviews: DataFrame, min_count: int = 100, top_k: int | None = None) -> DataFrame:
+def score_reliability(
+    reviews: DataFrame, min_count: int = 100, top_k: int | None = None, drop_null_score: bool = False
+) -> DataFrame:
     """Dispersion per entity with at least ``min_count`` reviews, most disputed first.
 
     ``cv`` divides the unrounded deviation by the unrounded mean.
     """
-    stats = score_stats(reviews, "entity", extra=(F.avg("prior_score").alias("avg_prior"),))
+    stats = score_stats(
+        rated(reviews, drop_null_score), "entity", extra=(F.avg("prior_score").alias("avg_prior"),)
+    )
     kept = stats.filter(F.col("n") >= min_count).withColumn(
         "cv", F.round(F.try_divide("std_score", "mean_score"), 4)
     )

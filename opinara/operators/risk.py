@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinara.functions import rated
+
 
 def hidden_risk(
     reviews: DataFrame,
@@ -14,13 +16,14 @@ def hidden_risk(
     disaster_score: float = 4.0,
     accuracy: int = 10_000,
     top_k: int | None = None,
+    drop_null_score: bool = False,
 ) -> DataFrame:
     """Entities with a high published score and a high share of disasters, riskiest first.
 
     The rounded disaster percentage feeds both the index and the filter.  ``p05``
     is a mergeable quantile summary of bounded size with rank error ``n / accuracy``.
     """
-    entities = reviews.groupBy("entity").agg(
+    entities = rated(reviews, drop_null_score).groupBy("entity").agg(
         F.avg("prior_score").alias("avg_prior"),
         F.avg("score").alias("mean_score"),
         F.count(F.lit(1)).alias("n"),

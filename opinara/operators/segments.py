@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.functions import rounded, score_stats
+from opinara.functions import rated, rounded, score_stats
 
 
-def segment_severity(reviews: DataFrame, min_count: int = 100) -> DataFrame:
+def segment_severity(reviews: DataFrame, min_count: int = 100, drop_null_score: bool = False) -> DataFrame:
     """Score statistics of segments with *more than* ``min_count`` reviews, severest first."""
     stats = score_stats(
-        reviews,
+        rated(reviews, drop_null_score),
         F.trim("segment").alias("segment"),
         extra=(F.min("score").alias("min_score"), F.max("score").alias("max_score")),
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.functions import ci95, first_match, rounded, score_stats
+from opinara.functions import ci95, first_match, rated, rounded, score_stats
 
 # Tag fragments in order of precedence.  "family" also matches a
 # room type, so a couple in a family room counts as a family.
@@ -26,10 +26,13 @@ def traveller_type(tags: Column, fragments: Sequence[tuple[str, str]] = TRAVELLE
 
 
 def traveller_satisfaction(
-    reviews: DataFrame, min_count: int = 50, fragments: Sequence[tuple[str, str]] = TRAVELLER_TAGS
+    reviews: DataFrame,
+    min_count: int = 50,
+    fragments: Sequence[tuple[str, str]] = TRAVELLER_TAGS,
+    drop_null_score: bool = False,
 ) -> DataFrame:
     """Score statistics of types with *more than* ``min_count`` reviews, happiest first."""
-    stats = score_stats(reviews, traveller_type(F.col("tags"), fragments).alias("traveller"))
+    stats = score_stats(rated(reviews, drop_null_score), traveller_type(F.col("tags"), fragments).alias("traveller"))
     kept = stats.filter(F.col("n") > min_count).withColumn("ci95", ci95(F.col("std_score"), F.col("n")))
     return rounded(kept, 3, "mean_score", "std_score", "ci95").orderBy(
         F.desc("mean_score"), "traveller"

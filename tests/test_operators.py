@@ -219,6 +219,15 @@ def test_score_reliability_minimum_is_inclusive(frame):
     assert rows(reliability.score_reliability(df, min_count=1, top_k=9))[-1]["entity"] == "few"
 
 
+def test_drop_null_score_leaves_unrated_reviews_out(frame):
+    df = priced(frame, {"a": (8.0, [2.0, 10.0, None])})
+    assert [r["n"] for r in rows(reliability.score_reliability(df, 1))] == [3]
+    assert [r["n"] for r in rows(reliability.score_reliability(df, 1, drop_null_score=True))] == [2]
+    assert [r["n"] for r in rows(gap.expectation_gap(df, drop_null_score=True))] == [2]
+    assert [r["disaster_pct"] for r in rows(risk.hidden_risk(df, 1))] == [33.33]
+    assert [r["disaster_pct"] for r in rows(risk.hidden_risk(df, 1, drop_null_score=True))] == [50.0]
+
+
 def test_score_reliability_of_zero_mean_has_no_cv(frame):
     assert rows(reliability.score_reliability(priced(frame, {"z": (8.0, [0.0, 0.0])}), 2))[0]["cv"] is None
 
