@@ -33,10 +33,12 @@ SENSITIVE = {
 }
 HARMLESS = {"public", "count", "length", "limit", "size", "name", "type", "id", "index", "path", "url", "file", "test", "example", "sample", "dummy", "placeholder"}
 
+# No length ends a name or a literal: possessive parts keep this linear.  A quoted literal holds escapes as they are written.
 _PAIR = re.compile(
-    r"""(?<![\w.$-])["']?([A-Za-z_][\w.$-]{0,80}?)["']?[ \t]*(?::=|=>|=(?![=~])|:(?![:/]))[ \t]*(?:"([^"\n\\]{1,4096})"|'([^'\n\\]{1,4096})'|([A-Za-z0-9+/_.=$-]{1,4096}))""",
+    r"""(?<![\w.$-])["']?([A-Za-z_][\w.$-]*+)["']?[ \t]*+(?::=|=>|=(?![=~])|:(?![:/]))[ \t]*+(?:"((?:[^"\n\\]|\\(?s:.))++)"|'((?:[^'\n\\]|\\(?s:.))++)'|([A-Za-z0-9+/_.=$-]++))""",
     re.ASCII,
 )
+_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
 
@@ -56,9 +58,11 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
 
 
-def literal_score(value: str) -> int:
-    """How much a literal looks like a secret, 0 to 4."""
-    if len(value) < 8 or " " in value:
+def literal_score(value: str, spaced: bool = False) -> int:
+    """How much a literal looks like a secret, 0 to 4; one with spaces (a passphrase) only if ``spaced``, and then it is a long one.  A private key in PEM form does."""
+    if _PEM.search(value):
+        return 4
+    if len(value) < 8 or " " in value and not (spaced and len(value) >= 16):
         return 0
     kinds = bool(re.search("[a-z]", value)) + bool(re.search("[A-Z]", value)) + bool(re.search("[0-9]", value)) + bool(re.search("[^A-Za-z0-9]", value))
     return (len(value) >= 16) + (kinds >= 2) + (entropy(value) >= 3) + (kinds >= 3)
@@ -79,7 +83,7 @@ def lexed(text: str) -> list[tuple[int, int]]:
                 continue
         constants[name] = span
         name_weight = name_score(name)
-        if name_weight >= 2 and literal_score(value) >= (2 if name_weight >= 3 else 3):
+        if name_weight >= 2 and literal_score(value, name_weight >= 3) >= (2 if name_weight >= 3 else 3):
             found.add(span)
     return sorted(found)
 
