@@ -187,6 +187,29 @@ def test_a_passage_with_changes_is_found(spark, docs):
     assert kept[1] == rows[0][1] and kept[3] == rows[2][1] and len(kept[2].split()) <= 9
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_exact_passages_are_found_whatever_holds_their_parts(spark, docs, seed):
+    rng = random.Random(seed)
+
+    def fresh(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows, halves = [], [fresh(rng.randrange(23, 45)) for _ in range(60)]
+    for i, half in enumerate(halves):  # the parts, each in a smaller document of its own
+        rows.append((i, fresh(20) + half + fresh(20)))
+    for i in range(0, 60, 2):
+        for j in range(2):
+            rows.append((100 + i + j, fresh(rng.randrange(30)) + halves[i] + halves[i + 1] + fresh(rng.randrange(30))))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string").repartition(5)
+    covered = {(r.doc_id, w) for r in chaining.repeated_passages(df).collect() for w in range(r.start_word, r.start_word + r.n_words)}
+    held, missed = {}, set()
+    for i, t in sorted(rows):
+        for at in range(len(t) - 44):
+            if held.setdefault(tuple(t[at : at + 45]), i) < i:
+                missed |= {(i, w) for w in range(at, at + 45)} - covered
+    assert not missed
+
+
 def test_cut_takes_words_and_keeps_the_rest():
     assert chaining.cut("a  bé c\nd", [(1, 2)]) == "a\nd"
     assert chaining.cut("a b", [(0, 5)]) == ""
