@@ -210,6 +210,40 @@ def test_exact_passages_are_found_whatever_holds_their_parts(spark, docs, seed):
     assert not missed
 
 
+def test_changed_words_near_the_ends_do_not_shorten_a_passage():
+    a = np.arange(100, dtype=np.uint32)
+    b = a.copy()
+    b[[*range(25), 28, 71, *range(75, 100)]] += 1000  # words 25 to 74 are a passage, its words 4 and 47 changed
+    for x in (np.array([40]), np.array([35, 60])):
+        ((x0, x1, y0, y1, found),) = chaining.align(a, b, x, x, 45, 0.8)
+        assert 25 <= x0 == y0 and y1 == x1 <= 75 and x1 - x0 >= 45 and found >= 45 / 47
+
+
+def changed_passages(percent, n_words, n=100):
+    """Pairs of documents that share a passage of which so many words are changed, at random."""
+    rng = random.Random(1000 * n_words + percent)
+
+    def fresh(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    for i in range(n):
+        base = fresh(n_words)
+        other = list(base)
+        for j in rng.sample(range(1, n_words - 1), n_words * percent // 100):
+            other[j] = f"changed{rng.randrange(10**9)}"
+        yield from (fresh(30) + base + fresh(30), fresh(30) + other + fresh(30))
+
+
+def test_recall_of_changed_passages(spark, docs):
+    kinds = [(10, 60, 99), (15, 60, 93), (20, 60, 60), (10, 100, 100), (20, 100, 80)]  # percent changed, words, least found of 100
+    rows = [" ".join(t) for percent, n, _ in kinds for t in changed_passages(percent, n)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id for r in chaining.repeated_passages(df).collect() if r.source_id == r.doc_id - 1}
+    counts = [sum(200 * k < d < 200 * (k + 1) for d in found) for k in range(len(kinds))]
+    print("found of 100:", counts)
+    assert all(c >= least for c, (_, _, least) in zip(counts, kinds, strict=True)), counts
+
+
 def test_cut_takes_words_and_keeps_the_rest():
     assert chaining.cut("a  bé c\nd", [(1, 2)]) == "a\nd"
     assert chaining.cut("a b", [(0, 5)]) == ""
