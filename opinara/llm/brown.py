@@ -235,7 +235,7 @@ def clustered(docs: DataFrame, head: Head, moving: int, rounds: int, text: str =
 def exchanged(numbers: DataFrame, head: Head, moving: int, rounds: int) -> Head:
     """Exchange clustering: the ``moving`` most frequent words start in classes of their own or, from the ``classes``-th on,
     by rank; every round counts their neighbours' classes over all texts and moves them.  In later rounds every other word may move,
-    so that neighbours don't swap places."""
+    so that neighbours don't swap places; it takes three rounds for each to move twice."""
     moving = min(moving, len(head.words))
     for turn in range(rounds):
         if not moving:
@@ -303,9 +303,9 @@ ALPHA = 0.1
 
 
 def scores(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", head_words: int = 32_768, moving: int = 4096, classes: int = 48, rounds: int = 2
+    docs: DataFrame, key: str = "doc_id", text: str = "text", head_words: int = 32_768, moving: int | None = None, classes: int = 48, rounds: int = 3
 ) -> DataFrame:
-    """Score every text with a class model learned from those not held out.
+    """Score every text with a class model learned from those not held out.  All words of the head are exchanged, or the ``moving`` first.
 
     Returns the key, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities).  A null or empty text is its end token.
     Rows that repeat a key, or have none, are scored each; other columns are not read.  Without training texts all probabilities are smoothed from nothing.
@@ -323,7 +323,7 @@ def scores(
     rank = np.arange(len(top))
     head.classes = 1 + SHAPES + np.where(rank < classes, rank, rank % classes)
     numbers = numbered(train, head)
-    head = exchanged(numbers, head, moving, rounds)
+    head = exchanged(numbers, head, len(head.words) if moving is None else moving, rounds)
 
     tail = counts.where(~_in_head(head)) if top else counts
     by_shape = {r["shape"]: r for r in tail.groupBy(shape_column("word").alias("shape")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}

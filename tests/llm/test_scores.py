@@ -186,6 +186,16 @@ def test_exchange_separates_two_languages(spark, docs):
     assert len(set(classes.values())) == 2
 
 
+def test_all_head_words_are_exchanged_twice(spark, docs, monkeypatch):
+    rng = random.Random(1)
+    rows = [(i, " ".join(f"w{rng.randrange(6000)}" for _ in range(400))) for i in range(100)]
+    turns, plain = [], brown.exchange
+    monkeypatch.setattr(brown, "exchange", lambda near, pairs, head, movable: turns.append((len(head.words), movable)) or plain(near, pairs, head, movable))
+    brown.scores(spark.createDataFrame(rows, "doc_id long, text string"))
+    times = sum(movable.astype(int) for _, movable in turns)
+    assert len(times) == turns[0][0] > 5000 and times.min() >= 2
+
+
 @pytest.mark.parametrize("block, bins", [(4096, 1024), (3, 2)])
 def test_top_k_equals_brute_force(spark, docs, block, bins):
     rng = random.Random(5)
