@@ -39,10 +39,11 @@ def hidden_risk(
     )
     # the quantile keeps an object for each group, so only the entities that count get one
     low = (
-        reviews.join(risky.select("entity"), "entity", "left_semi")
+        reviews.join(risky.select(F.col("entity").alias("risky")), F.col("entity").eqNullSafe(F.col("risky")), "left_semi")
         .groupBy("entity")
         .agg(F.percentile_approx("score", 0.05, accuracy).alias("p05"))
+        .withColumnRenamed("entity", "low_entity")
     )
     columns = ["entity", "avg_prior", "mean_score", "n", "disaster_count", "p05", "disaster_pct", "risk_index"]
-    risky = risky.join(low, "entity").select(*columns).orderBy(F.desc("risk_index"), F.desc("disaster_pct"), "entity")
+    risky = risky.join(low, F.col("entity").eqNullSafe(F.col("low_entity"))).select(*columns).orderBy(F.desc("risk_index"), F.desc("disaster_pct"), "entity")
     return risky if top_k is None else risky.limit(top_k)

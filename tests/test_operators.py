@@ -342,3 +342,10 @@ def test_results_do_not_depend_on_partitioning_or_skew(spark):
         lambda df: reliability.score_reliability(df),
     ):
         assert rows(run(base)) == rows(run(base.repartition(13, "entity"))) == rows(run(base.coalesce(1)))
+
+
+def test_hidden_risk_keeps_a_null_entity(spark):
+    rows = [(e, 9.0, 3.0 if i < 10 else 9.0) for e in (None, "a") for i in range(60)]
+    reviews = spark.createDataFrame(rows, "entity string, prior_score double, score double")
+    found = risk.hidden_risk(reviews).collect()
+    assert [(r.entity, r.n, r.disaster_count, r.p05) for r in found] == [(None, 60, 10, 3.0), ("a", 60, 10, 3.0)]
