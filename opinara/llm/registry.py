@@ -80,10 +80,16 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_check(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opinara.llm.variants import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_exact_top_k, op3_lm_scoring, op4_substring_dedup, op5_secret_scan, op6_jaccard_join,
-        op7_quality_rules, op8_quality_classifier, op9_suffix_dedup, op10_sentencepiece,
+        op7_quality_rules, op8_quality_classifier, op9_suffix_dedup, op10_sentencepiece, op11_spelling_variants,
     )
 }
