@@ -86,10 +86,16 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opinara.llm.prefixes import rebuilt_trie
+
+    return rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_exact_top_k, op3_lm_scoring, op4_substring_dedup, op5_secret_scan, op6_jaccard_join,
-        op7_quality_rules, op8_quality_classifier, op9_suffix_dedup, op10_sentencepiece, op11_spelling_variants,
+        op7_quality_rules, op8_quality_classifier, op9_suffix_dedup, op10_sentencepiece, op11_spelling_variants, op12_conversation_trie,
     )
 }
