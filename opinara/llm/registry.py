@@ -92,10 +92,16 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rebuilt_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from opinara.llm.langid import languages
+
+    return languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_exact_top_k, op3_lm_scoring, op4_substring_dedup, op5_secret_scan, op6_jaccard_join,
-        op7_quality_rules, op8_quality_classifier, op9_suffix_dedup, op10_sentencepiece, op11_spelling_variants, op12_conversation_trie,
+        op7_quality_rules, op8_quality_classifier, op9_suffix_dedup, op10_sentencepiece, op11_spelling_variants, op12_conversation_trie, op13_language_id,
     )
 }
