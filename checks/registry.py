@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from opinara.functions import rounded
 from opinara.operators import cleaning, features, gap, keywords, lengths, overview, places
 from opinara.operators import reliability, risk, segments, travellers
 from opinara.operators.vocabulary import vocabulary
-from opinara.plans import profiling, sentiment, topics
+from opinara.plans import diagnostics, profiling, sentiment, topics
+from opinara.plans.online_lda import TopicModel
 from opinara.sources import star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,7 +269,14 @@ def _profiles(spark: SparkSession, sf_dir: str) -> profiling.Profiles:
 @query
 def cluster_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every entity, whether it got a group, and how far its scaled features and its group are from what they should be."""
-    found = _profiles(spark, sf_dir)
+    return checked_groups(_profiles(spark, sf_dir))
+
+
+#: A settled fit: farthest distance of a centre from its members' mean, in standard deviations; share of the slope that may be left.
+SETTLED, SLOPE_LEFT = 0.1, 0.2
+
+
+def checked_groups(found: profiling.Profiles) -> DataFrame:
     centers = F.array(*[F.array(*[F.lit(float(x)) for x in center]) for center in found.model.clusterCenters()])
     vector = vector_to_array("vector")
 
@@ -277,9 +286,11 @@ def cluster_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = distance(F.element_at(centers, F.col("cluster") + 1))
     nearest = F.array_min(F.transform(centers, distance))
     z_score = F.round(vector[0], 6)
-    return found.assigned.select(
+    drift = diagnostics.center_drift(found.assigned, found.model)
+    return found.assigned.join(drift, "cluster", "left").select(
         "entity", "lat", "lng", F.col("cluster").isNotNull().alias("grouped"), (z_score + 0.0).alias("z_first"),
         F.coalesce(own <= nearest + 1e-9, F.lit(True)).alias("at_nearest"),
+        F.coalesce(F.col("drift") < SETTLED, F.lit(True)).alias("center_is_mean"),
     )
 
 
@@ -375,20 +386,27 @@ def sentiment_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sentiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes of the fit, and whether its accuracy is the share of right predictions."""
-    fitted = sentiment.train_sentiment(_whole_split(spark, sf_dir))
-    hits = fitted.predictions.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("hits"))
-    return fitted.metrics.crossJoin(hits).select(  # one row each
+    """Sizes of the fit, whether its accuracy is the share of right predictions and above that of the larger class, and whether it has settled."""
+    fitted = sentiment.train_sentiment(_whole_split(spark, sf_dir), row_keys=DOCUMENT)
+    return checked_sentiment(fitted)
+
+
+def checked_sentiment(fitted: sentiment.Sentiment) -> DataFrame:
+    hit, positive = (F.col("label") == F.col("prediction")).cast("double"), F.avg("label")
+    tested = fitted.predictions.agg(F.avg(hit).alias("hits"), F.greatest(positive, 1 - positive).alias("larger_class"))
+    settled = diagnostics.slope_left(fitted.held[0], fitted.model) < SLOPE_LEFT
+    return fitted.metrics.crossJoin(tested).select(  # one row each
         "n_sampled", "n_train", "n_test", "train_negative", "train_positive",
         (F.col("predicted_negative") + F.col("predicted_positive")).alias("n_predicted"),
         (F.abs(F.col("accuracy") - F.col("hits")) < 1e-12).alias("accuracy_is_share_of_hits"),
+        (F.col("accuracy") > F.col("larger_class")).alias("above_larger_class"), F.lit(settled).alias("slope_is_small"),
     )
 
 
 @query
 def sentiment_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The held-out documents, each with a class that its probabilities favour."""
-    fitted = sentiment.train_sentiment(_whole_split(spark, sf_dir))
+    fitted = sentiment.train_sentiment(_whole_split(spark, sf_dir), row_keys=DOCUMENT)
     chance = vector_to_array("probability")
     favoured = F.when(chance[1] > chance[0], 1.0).otherwise(0.0)
     return fitted.predictions.select("doc_id", "label", (F.col("prediction") == favoured).alias("is_favoured"))
@@ -396,7 +414,7 @@ def sentiment_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sentiment_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted = sentiment.train_sentiment(_whole_split(spark, sf_dir))
+    fitted = sentiment.train_sentiment(_whole_split(spark, sf_dir), row_keys=DOCUMENT)
     shown = sentiment.sentiment_examples(fitted.predictions, DOCUMENT)
     return shown.select("text", "label", F.col("prediction").isin("Pos", "Neg").alias("named"), F.col("confidence").between(0.5, 1.0).alias("likelier"))
 
@@ -423,8 +441,8 @@ def topic_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _topics(spark: SparkSession, sf_dir: str, stability: bool = False) -> topics.Topics:
-    """Topics of all documents; every iteration reads all of them."""
-    return topics.fit_topics(star.document_reviews(spark, sf_dir), evaluate_stability=stability, subsampling_rate=1.0)
+    """Topics of all documents, each of which every epoch reads once."""
+    return topics.fit_topics(star.document_reviews(spark, sf_dir), evaluate_stability=stability, row_keys=DOCUMENT)
 
 
 @query
@@ -440,10 +458,35 @@ def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def topic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes of the fit; perplexity is the likelihood for each token."""
-    fit = _topics(spark, sf_dir).fit
+    """Sizes of the fit; perplexity is the likelihood for each token, and below that of a single topic; a topic's weights add up to 1."""
+    found = _topics(spark, sf_dir)
+    return checked_topics(found, [row["term_count"] for row in topic_vocab(spark, sf_dir).select("term_count").collect()])
+
+
+def checked_topics(found: topics.Topics, term_counts: list[int]) -> DataFrame:
+    assert found.model is not None
     agrees = F.abs(F.col("log_perplexity") * F.col("n_tokens") + F.col("log_likelihood")) < 1e-3
-    return fit.select("n_texts", "n_words", "n_tokens", "size_verdict", (F.col("log_likelihood") < 0).alias("likelihood_below_zero"), agrees.alias("perplexity_agrees"))
+    error = diagnostics.topic_weight_error(found.model)
+    return found.fit.select(
+        "n_texts", "n_words", "n_tokens", "size_verdict", (F.col("log_likelihood") < 0).alias("likelihood_below_zero"), agrees.alias("perplexity_agrees"),
+        (F.col("log_perplexity") < diagnostics.one_topic_perplexity(term_counts)).alias("better_than_one_topic"), F.lit(error < 1e-9).alias("weights_add_up"),
+    )
+
+
+@query
+def topic_terms_of_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Term lookup and term table of a model whose word counts by topic are known: a topic for each language, the words' counts in its texts."""
+    words = topic_vocab(spark, sf_dir)
+    spelled = [row["term"] for row in words.orderBy("idx").collect()]
+    tokens = topics.topic_tokens(topics.topic_corpus(star.document_reviews(spark, sf_dir))).where("segment is not null")
+    counted = tokens.select("segment", F.explode("tokens").alias("term")).groupBy("segment", "term").agg(F.count("*").alias("n")).join(words, "term")
+    langs = sorted(row["segment"] for row in counted.select("segment").distinct().collect())
+    counts = np.zeros((len(langs), len(spelled)))
+    for row in counted.select("segment", "idx", "n").collect():  # languages x vocabulary
+        counts[langs.index(row["segment"]), row["idx"]] = row["n"]
+    model = TopicModel(counts, alpha=1.0, eta=1.0)
+    terms = topics.topic_terms(topics.topic_table(model, spelled, top_terms=10))
+    return terms.select("topic", "rank", "term", F.round("weight", 9).alias("weight"), F.round("rel_weight", 9).alias("rel_weight"), "label")
 
 
 @query

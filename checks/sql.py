@@ -470,7 +470,7 @@ check(
     "cluster_assign",
     _COMPLETE
     + """
-select entity, lat, lng, true as grouped, true as at_nearest,
+select entity, lat, lng, true as grouped, true as at_nearest, true as center_is_mean,
        round((mean_score - avg(mean_score) over ()) / stddev_samp(mean_score) over (), 6) + 0e0 as z_first
 from complete""",
     _FEATURES,
@@ -556,7 +556,8 @@ check(
 select count(*) as n_sampled, count(*) filter (split = 'train') as n_train, count(*) filter (split = 'test') as n_test,
        count(*) filter (split = 'train' and label = 0) as train_negative,
        count(*) filter (split = 'train' and label = 1) as train_positive,
-       count(*) filter (split = 'test') as n_predicted, true as accuracy_is_share_of_hits
+       count(*) filter (split = 'test') as n_predicted, true as accuracy_is_share_of_hits,
+       true as above_larger_class, true as slope_is_small
 from labelled""",
     _LABELLED,
 )
@@ -629,10 +630,31 @@ check(
 texts as (select count(*) as n from documents where text <> 'No Negative' and length(text) > 30)
 select max(texts.n) as n_texts, count(*) as n_words, cast(sum(term_count) as bigint) as n_tokens,
        case when max(texts.n) < 300 then 'small corpus' else 'large enough' end as size_verdict,
-       true as likelihood_below_zero, true as perplexity_agrees
+       true as likelihood_below_zero, true as perplexity_agrees, true as better_than_one_topic, true as weights_add_up
 from kept, texts""",
     ORACLES["topic_vocab"].rsplit("select term, term_count", 1)[0].rstrip(),
 )
+check(
+    "topic_terms_of_languages",
+    rf""",
+said as (
+  select lang, unnest(regexp_extract_all(lower(text), '\p{{L}}{{3,}}')) as term
+  from documents where text <> 'No Negative' and length(text) > 30 and lang is not null
+),
+numbered as (select term, row_number() over (order by term_count desc, term) - 1 as idx from kept),
+counts as (select lang, term, idx, count(*) as n from said join numbered using (term) group by all),
+topics as (select lang, row_number() over (order by lang) - 1 as topic from (select distinct lang from counts)),
+ranked as (
+  select topic, term, n / sum(n) over (partition by topic) as weight,
+         row_number() over (partition by topic order by n desc, idx) as rank
+  from counts join topics using (lang)
+),
+labels as (select topic, string_agg(term, ', ' order by rank) as label, max(weight) as top from ranked where rank <= 3 group by topic)
+select cast(topic as int) as topic, cast(rank as int) as rank, term, round(weight, 9) as weight,
+       round(weight / top, 9) as rel_weight, label
+from ranked join labels using (topic) where rank <= 10""",
+    ORACLES["topic_vocab"].rsplit("select term, term_count", 1)[0].rstrip(),
+)
 check("topic_stability", " select cast(3 as bigint) as n_main, cast(3 as bigint) as n_alt, true as overall_is_mean, true as verdict_follows", "")
 
 

@@ -14,17 +14,18 @@ from pyspark.sql import functions as F
 
 from opinara.functions import first_match
 from opinara.operators.features import feature_columns, theme_columns
-from opinara.plans.durable import durable
+from opinara.plans.durable import Lasting, durable, release
 
 
 @dataclass(frozen=True)
-class Profiles:
-    """``assigned`` holds every entity with its cluster; an entity lacking a feature has none."""
+class Profiles(Lasting):
+    """``assigned`` holds every entity with its cluster; an entity lacking a feature has none.  The features are held until it is closed."""
 
     assigned: DataFrame
     stats: DataFrame
     scaler: StandardScalerModel
     model: KMeansModel
+    held: tuple[DataFrame, ...] = ()
 
 
 def cluster_entities(
@@ -34,22 +35,22 @@ def cluster_entities(
     max_iter: int = 20,
     columns: Sequence[str] | None = None,
     problems: Sequence[str] | None = None,
-    partitions: int = 8,
 ) -> Profiles:
     """k-means over z-scored features.
 
     The features cost a pass over all reviews, the fit many passes over the
-    entities, so the features are stored once, in ``partitions`` by entity: the
-    seeding of k-means reads rows in order, so this number is part of the result.
+    entities, so the features are stored, dealt by entity: the seeding of k-means
+    reads rows in order, and this order depends on the rows alone.
     """
     names = list(columns or feature_columns())
     keys = [name for name in features.columns if name not in names]
-    stored = durable(features, *keys, partitions=partitions)
+    stored = durable(features, *keys)
 
     complete = reduce(and_, (F.col(name).isNotNull() for name in names))
     usable = stored.filter(complete)
     found = usable.limit(k).count()
     if found < k:
+        release(stored)
         raise ValueError(f"{k} clusters need at least {k} entities with all features, found {found}")
 
     raw = VectorAssembler(inputCols=names, outputCol="raw_vector").transform(usable)
@@ -58,7 +59,7 @@ def cluster_entities(
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="vector", predictionCol="cluster").fit(scaled)
 
     assigned = model.transform(scaled).unionByName(stored.filter(~complete), allowMissingColumns=True)
-    return Profiles(assigned, cluster_stats(assigned, problems), scaler, model)
+    return Profiles(assigned, cluster_stats(assigned, problems), scaler, model, (stored,))
 
 
 def cluster_stats(assigned: DataFrame, problems: Sequence[str] | None = None) -> DataFrame:

@@ -14,19 +14,20 @@ from pyspark.sql import functions as F
 
 from opinara.functions import first_match, hash_order, in_fraction
 from opinara.operators.vocabulary import vocabulary
-from opinara.plans.durable import durable
+from opinara.plans.durable import Lasting, durable
 
 # Fixed value: the score from which a review counts as positive.
 POSITIVE_FROM = 7.5
 
 
 @dataclass(frozen=True)
-class Sentiment:
-    """A fitted pipeline, its hold-out predictions and one row of metrics."""
+class Sentiment(Lasting):
+    """A fitted pipeline, its hold-out predictions and one row of metrics; holds the training vectors until it is closed."""
 
     model: PipelineModel
     predictions: DataFrame
     metrics: DataFrame
+    held: tuple[DataFrame, ...] = ()
 
 
 def sentiment_corpus(
@@ -94,12 +95,13 @@ def train_sentiment(
     min_df: int = 5,
     max_iter: int = 10,
     reg_param: float = 0.01,
-    partitions: int = 8,
+    row_keys: Sequence[str] = (),
 ) -> Sentiment:
     """Word counts, inverse document frequency and logistic regression.
 
     The training texts are read twice, once for the vocabulary and once for the
-    count vectors; all iterations then run on the stored vectors, in ``partitions`` by text.
+    count vectors; all iterations then run on the stored vectors, dealt by text and by the columns
+    ``row_keys``, which should name a row, so that copies of one text spread.
     """
     train = split.filter(F.col("split") == "train")
     words = vocabulary(sentiment_tokens(train), min_df, vocab_size).orderBy("idx").collect()
@@ -112,7 +114,8 @@ def train_sentiment(
         [row.term for row in words], inputCol="tokens", outputCol="counts"
     )
     counts = PipelineModel([tokenizer, remover, counter]).transform(train)
-    stored = durable(counts.select(F.xxhash64("review").alias("row"), "label", "counts"), "row", "label", partitions=partitions)
+    row = F.xxhash64("review", *row_keys)
+    stored = durable(counts.select(row.alias("row"), "label", "counts"), "row", "label")
 
     idf = IDF(inputCol="counts", outputCol="features").fit(stored)
     classifier = LogisticRegression(maxIter=max_iter, regParam=reg_param).fit(idf.transform(stored))
@@ -120,7 +123,7 @@ def train_sentiment(
 
     scored = model.transform(split.filter(F.col("split") == "test"))
     predictions = scored.drop("words", "tokens", "counts", "features", "rawPrediction")
-    return Sentiment(model, predictions, _metrics(stored, predictions))
+    return Sentiment(model, predictions, _metrics(stored, predictions), (stored,))
 
 
 def _metrics(train: DataFrame, predictions: DataFrame) -> DataFrame:

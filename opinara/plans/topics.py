@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel, RegexTokenizer, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions import first_match
 from opinara.operators.vocabulary import vocabulary
-from opinara.plans.durable import durable, release
+from opinara.plans.durable import in_batches, release
+from opinara.plans.online_lda import TopicModel, batch_of, fit_online
 
 # Text that stands for "nothing to complain about", tokens worth
 # keeping, and words too common in this domain to tell topics apart.
@@ -34,7 +34,7 @@ class Topics:
     A corpus without a word that is frequent enough has no model and no terms.
     """
 
-    model: LDAModel | None
+    model: TopicModel | None
     vocabulary: list[str]
     terms: DataFrame
     fit: DataFrame
@@ -57,7 +57,7 @@ def topic_tokens(corpus: DataFrame, extra_stop_words: Sequence[str] = DOMAIN_STO
     return remover.transform(words).drop("words")
 
 
-def topic_table(model: LDAModel, words: Sequence[str], top_terms: int) -> DataFrame:
+def topic_table(model: TopicModel, words: Sequence[str], top_terms: int) -> DataFrame:
     """``topic, terms, weights`` with the term numbers resolved.
 
     The vocabulary is bounded by its size parameter and travels as one literal;
@@ -164,23 +164,21 @@ def fit_topics(
     evaluate_stability: bool = True,
     seed: int = 42,
     alternative_seed: int = 99,
-    max_iter: int = 20,
+    batches: int = 20,
+    epochs: int = 1,
     vocab_size: int = 1500,
     min_df: int = 15,
     min_chars: int = 30,
     sentinel: str = NO_COMPLAINT,
     extra_stop_words: Sequence[str] = DOMAIN_STOP_WORDS,
-    subsampling_rate: float = 1.0,
-    partitions: int = 8,
+    row_keys: Sequence[str] = (),
 ) -> Topics:
     """Online LDA over negative texts, with an optional second fit to test its stability.
 
-    Each iteration reads ``subsampling_rate`` of the texts, drawn anew: 1.0 reads all of them, smaller values make
-    iterations cheaper, and texts that no draw takes leave no trace in the topics.  Vectors lie in ``partitions`` by text,
-    a number that is part of the result.
+    A text is in one of ``batches`` mini-batches, by the hash of its words and of the columns ``row_keys``, which should name a row, so that
+    copies of one text spread.  An epoch takes the batches in turn and meets every text once; each step reads its own batch only.
 
-    Both fits share the vocabulary and the stored count vectors, so no iteration
-    tokenises again.
+    The texts are tokenised twice, for the vocabulary and for the stored count vectors.  Both fits learn in the same passes over these.
     """
     spark = reviews.sparkSession
     corpus = topic_corpus(reviews, min_chars, sentinel)
@@ -192,19 +190,19 @@ def fit_topics(
     n_tokens = sum(row.term_count for row in rows)
 
     counter = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="features")
-    counts = counter.transform(tokens).select(F.xxhash64("review").alias("row"), "features")
-    vectors = durable(counts, "row", partitions=partitions)
+    key = F.xxhash64("review", *row_keys)
+    counts = counter.transform(tokens).select(batch_of(key, batches).alias("batch"), key.alias("key"), "features")
+    vectors, n_texts = in_batches(counts, "batch", batches, F.col("key"))
     try:
-        model = LDA(k=k, maxIter=max_iter, optimizer="online", seed=seed, subsamplingRate=subsampling_rate).fit(vectors)
-        n_texts = vectors.count()
-        likelihood = float(model.logLikelihood(vectors))
-        described = topic_table(model, words, top_terms)
-        stability = None
-        if evaluate_stability:
-            other = LDA(k=k, maxIter=max_iter, optimizer="online", seed=alternative_seed, subsamplingRate=subsampling_rate).fit(vectors)
-            stability = stability_report(match_topics(described, topic_table(other, words, top_terms)))
+        seeds = (seed, alternative_seed) if evaluate_stability else (seed,)
+        model, *others = fit_online(vectors, len(words), k, seeds, epochs=epochs)
+        likelihood = model.logLikelihood(vectors)
     finally:
         release(vectors)
+    described = topic_table(model, words, top_terms)
+    stability = None
+    if others:
+        stability = stability_report(match_topics(described, topic_table(others[0], words, top_terms)))
     quality = _fit_table(spark, n_texts, len(words), n_tokens, likelihood)
     return Topics(model, words, topic_terms(described), quality, stability)
 

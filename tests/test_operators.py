@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import statistics
 
 import pytest
@@ -349,3 +350,38 @@ def test_hidden_risk_keeps_a_null_entity(spark):
     reviews = spark.createDataFrame(rows, "entity string, prior_score double, score double")
     found = risk.hidden_risk(reviews).collect()
     assert [(r.entity, r.n, r.disaster_count, r.p05) for r in found] == [(None, 60, 10, 3.0), ("a", 60, 10, 3.0)]
+
+
+def _scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_hidden_risk_reads_the_reviews_once(spark, tmp_path):
+    rows = spark.range(3000).select(
+        F.concat(F.lit("e"), F.col("id") % 3).alias("entity"), F.lit(9.0).alias("prior_score"), F.when(F.col("id") % 17 > 0, (F.col("id") * 7 % 19) / 2).alias("score")
+    )
+    rows.write.parquet(str(tmp_path / "reviews"))
+    reviews = spark.read.parquet(str(tmp_path / "reviews"))
+    for continuous in (False, True):
+        assert _scans(risk.hidden_risk(reviews, continuous_scores=continuous)) == 1
+
+
+@pytest.mark.parametrize("n", [1, 19, 20, 21, 39, 40, 41, 60, 140, 200])
+def test_p05_is_the_smallest_score_with_a_twentieth_below(frame, n):
+    draw = random.Random(n)
+    scores = [draw.choice([None, *range(20)]) if i else 0 for i in range(n)]
+    df = frame([("e", 9.0, None if s is None else float(s)) for s in scores], "entity string, prior_score double, score double")
+    known = sorted(s for s in scores if s is not None)
+    expected = known[max(0, -(-len(known) * 5 // 100) - 1)]
+    for continuous in (False, True):
+        found = risk.hidden_risk(df, min_count=1, min_disaster_pct=0.0, continuous_scores=continuous).first()
+        assert found.p05 == expected and found.n == n
+        assert found.mean_score == pytest.approx(sum(known) / len(known))
+        assert found.disaster_count == sum(s <= 4 for s in known)
+
+
+def test_hidden_risk_of_an_entity_without_scores(frame):
+    df = frame([("e", 9.0, None)] * 60 + [("f", None, 1.0)] * 60, "entity string, prior_score double, score double")
+    for continuous in (False, True):
+        found = risk.hidden_risk(df, min_disaster_pct=0.0, continuous_scores=continuous).collect()
+        assert [(r.entity, r.n, r.disaster_count, r.p05, r.mean_score) for r in found] == [("e", 60, 0, None, None)]

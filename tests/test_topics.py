@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import functions as F
 
 from opinara.plans import topics
@@ -77,6 +78,12 @@ def planted(spark, n=300):
     )
 
 
+def counted(reviews, words):
+    """Count vectors of the topic texts of ``reviews``."""
+    counter = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="features")
+    return counter.transform(topics.topic_tokens(topics.topic_corpus(reviews)))
+
+
 def test_fit_invariants(spark):
     fitted = topics.fit_topics(planted(spark), k=2, top_terms=4, min_df=5)
     terms = fitted.terms.orderBy("topic", "rank").collect()
@@ -100,14 +107,10 @@ def test_fit_invariants(spark):
     assert again.terms.orderBy("topic", "rank").collect() == terms and again.stability is None
 
 
-def test_perplexity_is_sparks(spark):
+def test_perplexity_is_that_of_the_stored_texts(spark):
     fitted = topics.fit_topics(planted(spark), k=2, min_df=5, evaluate_stability=False)
-    tokens = topics.topic_tokens(topics.topic_corpus(planted(spark)))
-    from pyspark.ml.feature import CountVectorizerModel
-
-    counter = CountVectorizerModel.from_vocabulary(fitted.vocabulary, inputCol="tokens", outputCol="features")
-    measured = fitted.model.logPerplexity(counter.transform(tokens))
-    assert fitted.fit.first().log_perplexity == pytest.approx(measured, rel=0.05)
+    vectors = counted(planted(spark), fitted.vocabulary)
+    assert fitted.fit.first().log_perplexity == pytest.approx(fitted.model.logPerplexity(vectors))
 
 
 def test_small_corpus_and_empty_vocabulary(spark):
