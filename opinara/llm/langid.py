@@ -47,6 +47,7 @@ SLICE, ROWS = 1 << 19, 256
 #: Spaces, digits, punctuation and control bytes of ASCII all count as one space.
 _BYTES = LOWER.copy()
 _BYTES[[b for b in range(128) if not chr(b).isalpha()]] = 32
+TOP = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -128,17 +129,27 @@ def held_out(key: str, folds: int = 4, fold: int = 2) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
+def _at_most(rows: DataFrame, bounds: dict[str, int]) -> DataFrame:
+    """The rows whose ``h`` is at most their language's bound."""
+    return rows.where(F.col("h") <= F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])[F.col("lang")])
+
+
 def training_rows(docs: DataFrame, key: str, text: str, lang: str, per_language: int) -> DataFrame:
     """``lang`` and ``vector`` of distinct texts with a letter, outside the held-out fold: of each language the ``per_language`` whose hashes are lowest.
 
     Only hashes are ranked.  The texts stay where they are and each task compares theirs with their language's bound.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(key)).select(
-        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit(13), text).alias("h")
+        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.shiftrightunsigned(F.xxhash64(F.lit(13), text), 1).alias("h")
     )
-    ranked = known.select("lang", "h").distinct().withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("h")))
-    bounds = ranked.where(F.col("rank") <= per_language).groupBy("lang").agg(F.max("h").alias("last"))
-    chosen = known.join(bounds, "lang").where("h <= last").groupBy("lang", "h").agg(F.first("text").alias("text"))
+    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}  # as many rows as languages
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], "lang string, h long, vector array<double>")
+    # of a large language only so many low hashes are ranked as hold the wanted ones by far
+    ranked = _at_most(known.select("lang", "h"), {x: min(TOP, 4 * per_language * TOP // n) for x, n in sizes.items()}).distinct()
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("h"))
+    last = {r.lang: r.h for r in ranked.withColumn("rank", rank).where(F.col("rank") <= per_language).groupBy("lang").agg(F.max("h").alias("h")).collect()}
+    chosen = _at_most(known, last).groupBy("lang", "h").agg(F.first("text").alias("text"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
