@@ -133,7 +133,10 @@ def keyword_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def keyword_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keywords.keyword_samples(star.reviews(spark, sf_dir, ("entity", "score", "neg_text")), KEYWORDS)
+    """Sampled hits; equal reviews draw numbers of their own by the keys of the line items."""
+    keys = ("l_orderkey", "l_linenumber")
+    texts = star.reviews(spark, sf_dir, ("entity", "score", "neg_text"), keep=keys)
+    return keywords.keyword_samples(texts, KEYWORDS, keys=keys)
 
 
 @query
@@ -259,7 +262,8 @@ def region_profile_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def region_profile_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiling.cluster_examples(_by_longitude(spark, sf_dir))
+    placed = _by_longitude(spark, sf_dir)
+    return profiling.cluster_examples(placed, named=profiling.cluster_names(profiling.cluster_stats(placed)))
 
 
 def _profiles(spark: SparkSession, sf_dir: str) -> profiling.Profiles:
@@ -294,6 +298,17 @@ def checked_groups(found: profiling.Profiles) -> DataFrame:
     )
 
 
+@query
+def cluster_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silhouettes of two to six groups: in range, one of them best, and cost falling with every group more."""
+    found = profiling.group_quality(entity_features(spark, sf_dir))
+    by_k = Window.orderBy("k")  # five rows
+    return found.select(
+        "k", F.col("silhouette").between(-1, 1).alias("in_range"), (F.col("best") == (F.col("silhouette") == F.max("silhouette").over(Window.partitionBy(F.lit(1))))).alias("best_is_highest"),
+        F.coalesce(F.col("cost") < F.lag("cost").over(by_k), F.lit(True)).alias("cost_falls"),
+    )
+
+
 @query
 def cluster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The groups put together again give the figures of all entities."""

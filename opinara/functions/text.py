@@ -23,8 +23,18 @@ def any_part(words: Sequence[str]) -> str:
 
 
 def whole_word(words: Sequence[str]) -> str:
-    r"""Pattern for the words between word boundaries, in any case; group 1 is the word."""
-    return rf"(?i)\b({'|'.join(_checked(words))})\b"
+    r"""Pattern for the words between word boundaries, in any case; group 1 is the word.
+
+    Nearly all characters of a text begin none of the words, and the look at the first letter is what they cost: a
+    boundary test costs several times as much.
+    """
+    firsts = "".join(sorted({letter for word in _checked(words) for letter in (word[0], word[0].upper())}))
+    return rf"(?=[{firsts}])\b((?i:{'|'.join(words)}))\b"
+
+
+def first_word(text: Column, words: Sequence[str]) -> Column:
+    """The first of the words that the text has, as it is written there, found in one pass for all words; null where there is none."""
+    return F.nullif(F.regexp_extract(text, whole_word(words), 1), F.lit(""))
 
 
 def mentions(text: Column, words: Sequence[str], pattern: str) -> Column:

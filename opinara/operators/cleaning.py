@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from opinara.functions import first_match
 
 KEPT = "kept"
+#: A column that a source may add: null, or what is wrong with the line a row was read from.
+MALFORMED = "malformed"
 
 
 @dataclass(frozen=True)
@@ -36,7 +38,10 @@ def _or_null(df: DataFrame, name: str, token: str) -> Column:
 
 
 def judge_reviews(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """Typed rows plus ``outcome``: ``kept`` or the first rule the row breaks."""
+    """Typed rows plus ``outcome``: ``kept`` or the first rule the row breaks.
+
+    Of a table with a column ``malformed``, rows of lines that could not be read come first: "malformed" and what is wrong.
+    """
     types = dict(raw.dtypes)
 
     def missing(name: str) -> Column:
@@ -49,9 +54,11 @@ def judge_reviews(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Dat
         return gone
 
     text_rules = [(missing(name), f"missing {name}") for name in rules.required_text]
-    judged = raw.withColumn("outcome", first_match(text_rules, None))
+    if MALFORMED in types:
+        text_rules.insert(0, (F.col(MALFORMED).isNotNull(), F.concat(F.lit(f"{MALFORMED}: "), MALFORMED)))
+    judged = raw.withColumn("outcome", first_match(text_rules, None)).drop(MALFORMED)
 
-    repaired = {name: _or_null(raw, name, rules.na_token) for name, kind in raw.dtypes if kind == "string"}
+    repaired = {name: _or_null(raw, name, rules.na_token) for name, kind in raw.dtypes if kind == "string" and name != MALFORMED}
     for name in rules.doubles:
         number = _or_null(raw, name, rules.na_token).try_cast("double")
         repaired[name] = F.when(F.abs(number) < float("inf"), number)  # NaN counts as larger: neither is a number to average

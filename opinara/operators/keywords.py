@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opinara.functions import ci95, first_match, hash_order, rated, rounded, score_stats
-from opinara.functions.text import mentions, whole_word
+from opinara.functions.text import first_word, whole_word
 
 # Words that tell of building works.
 BUILDING_WORKS = (
@@ -28,7 +28,7 @@ PLAIN_EFFECT = 0.3
 
 
 def _has_keyword(words: Sequence[str]) -> Column:
-    return mentions(F.col("neg_text"), words, whole_word(words))
+    return F.col("neg_text").rlike(whole_word(words))
 
 
 def keyword_impact(
@@ -45,8 +45,8 @@ def keyword_impact(
 
 def _first_keyword(words: Sequence[str], keep_case: bool) -> Column:
     """The first keyword of the negative text, null where there is none."""
-    found = F.regexp_extract("neg_text", whole_word(words), 1)
-    return F.when(_has_keyword(words), found if keep_case else F.lower(found))
+    found = first_word(F.col("neg_text"), words)
+    return found if keep_case else F.lower(found)
 
 
 def keyword_frequency(
@@ -77,12 +77,14 @@ def keyword_samples(
     n: int = 5,
     seed: int = 42,
     keep_case: bool = False,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """``n`` pseudo-random hits; the same rows on every run and every cluster.
 
+    ``keys`` should name a review, so that equal reviews draw numbers of their own; they are shown too.
     Only hits draw a number, so they come first in the per-task top ``n``.
     """
-    source = ("entity", "score", "neg_text")
+    source = (*keys, "entity", "score", "neg_text")
     drawn = reviews.select(*source, _first_keyword(words, keep_case).alias("keyword")).withColumn(
         "draw", F.when(F.col("keyword").isNotNull(), hash_order(*source, seed=seed))
     )
@@ -91,20 +93,16 @@ def keyword_samples(
 
 
 def keyword_verdict(impact: DataFrame) -> DataFrame:
-    """One row judging the effect; empty when one side has no mean."""
-    hit, other = F.col("has_keyword"), ~F.col("has_keyword")
-    sides = impact.agg(
-        F.max(F.when(hit, F.col("mean_score"))).alias("mean_hit"),
-        F.max(F.when(other, F.col("mean_score"))).alias("mean_other"),
-        F.max(F.when(hit, F.col("ci95"))).alias("ci_hit"),
-        F.max(F.when(other, F.col("ci95"))).alias("ci_other"),
-    )
+    """One row judging the effect, with both sides' reviews (if ``impact`` counts them), means and intervals; empty when one side has no mean."""
+    sides_of = {"hit": F.col("has_keyword"), "other": ~F.col("has_keyword")}
+    shown = {"n": "n", "mean_score": "mean", "ci95": "ci"}
+    figures = [(name, side) for name in shown if name in impact.columns for side in sides_of]
+    sides = impact.agg(*[F.max(F.when(sides_of[side], F.col(name))).alias(f"{shown[name]}_{side}") for name, side in figures])
     diff = F.col("diff")
     strong = F.coalesce("threshold", F.lit(PLAIN_EFFECT))
     return (
-        sides.select(
-            F.round(F.col("mean_hit") - F.col("mean_other"), 3).alias("diff"),
-            F.round(F.col("ci_hit") + F.col("ci_other"), 3).alias("threshold"),
+        sides.withColumns(
+            {"diff": F.round(F.col("mean_hit") - F.col("mean_other"), 3), "threshold": F.round(F.col("ci_hit") + F.col("ci_other"), 3)}
         )
         .filter(diff.isNotNull())
         .withColumn("verdict", first_match([(diff < -strong, "strong"), (diff < 0, "mild")], "none"))
@@ -121,8 +119,8 @@ def keyword_summary(reviews: DataFrame, words: Sequence[str] = BUILDING_WORKS, k
     The texts are reduced to counts, means and squared deviations per keyword, which merge; the windows see that table only.
     """
     per_keyword = (
-        reviews.withColumn("has_keyword", _has_keyword(words))
-        .withColumn("keyword", _first_keyword(words, keep_case))
+        reviews.withColumn("keyword", _first_keyword(words, keep_case))
+        .withColumn("has_keyword", F.when(F.col("neg_text").isNotNull(), F.col("keyword").isNotNull()))
         .groupBy("has_keyword", "keyword")
         .agg(
             F.count(F.lit(1)).alias("n_keyword"),
@@ -171,7 +169,7 @@ class KeywordReport:
 
 
 def keyword_report(
-    reviews: DataFrame, words: Sequence[str] = BUILDING_WORKS, sample_size: int = 5
+    reviews: DataFrame, words: Sequence[str] = BUILDING_WORKS, sample_size: int = 5, keys: Sequence[str] = ()
 ) -> KeywordReport:
     """All keyword tables of one list of words.
 
@@ -181,6 +179,6 @@ def keyword_report(
     return KeywordReport(
         impact,
         keyword_frequency(reviews, words),
-        keyword_samples(reviews, words, sample_size),
+        keyword_samples(reviews, words, sample_size, keys=keys),
         keyword_verdict(impact),
     )

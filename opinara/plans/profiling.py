@@ -8,8 +8,9 @@ from functools import reduce
 from operator import add, and_
 
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions import first_match
@@ -42,24 +43,60 @@ def cluster_entities(
     entities, so the features are stored, dealt by entity: the seeding of k-means
     reads rows in order, and this order depends on the rows alone.
     """
-    names = list(columns or feature_columns())
-    keys = [name for name in features.columns if name not in names]
-    stored = durable(features, *keys)
+    stored = durable(features, *_keys(features, columns))
+    try:
+        complete, scaler, scaled = _scaled(stored, k, columns)
+    except ValueError:
+        release(stored)
+        raise
+    model = _k_means(k, seed, max_iter).fit(scaled)
+    assigned = model.transform(scaled).unionByName(stored.filter(~complete), allowMissingColumns=True)
+    return Profiles(assigned, cluster_stats(assigned, problems), scaler, model, (stored,))
+
 
+def _keys(features: DataFrame, columns: Sequence[str] | None) -> list[str]:
+    names = columns or feature_columns()
+    return [name for name in features.columns if name not in names]
+
+
+def _scaled(stored: DataFrame, least: int, columns: Sequence[str] | None) -> tuple[Column, StandardScalerModel, DataFrame]:
+    """Which entities have all features, the scaler that they give, and these entities with their z-scores in ``vector``."""
+    names = list(columns or feature_columns())
     complete = reduce(and_, (F.col(name).isNotNull() for name in names))
     usable = stored.filter(complete)
-    found = usable.limit(k).count()
-    if found < k:
-        release(stored)
-        raise ValueError(f"{k} clusters need at least {k} entities with all features, found {found}")
-
+    found = usable.limit(least).count()
+    if found < least:
+        raise ValueError(f"{least} clusters need at least {least} entities with all features, found {found}")
     raw = VectorAssembler(inputCols=names, outputCol="raw_vector").transform(usable)
     scaler = StandardScaler(inputCol="raw_vector", outputCol="vector", withMean=True, withStd=True).fit(raw)
-    scaled = scaler.transform(raw).drop("raw_vector")
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="vector", predictionCol="cluster").fit(scaled)
+    return complete, scaler, scaler.transform(raw).drop("raw_vector")
 
-    assigned = model.transform(scaled).unionByName(stored.filter(~complete), allowMissingColumns=True)
-    return Profiles(assigned, cluster_stats(assigned, problems), scaler, model, (stored,))
+
+def _k_means(k: int, seed: int, max_iter: int) -> KMeans:
+    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="vector", predictionCol="cluster")
+
+
+def group_quality(
+    features: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = 42, max_iter: int = 20, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """How well each number of groups fits: ``k``, ``silhouette`` (squared distances, -1 to 1), ``cost`` and ``best``, the k of the highest one.
+
+    All fits share the stored features.  The silhouette comes from each group's size, sum and sum of squares, not
+    from pairs of entities.  It is null where all entities fall into one group; of equal ones the smallest k is best.
+    """
+    stored = durable(features, *_keys(features, columns))
+    try:
+        _, _, scaled = _scaled(stored, max(ks), columns)
+        rows = []
+        for k in ks:
+            model = _k_means(k, seed, max_iter).fit(scaled)
+            several = sum(size > 0 for size in model.summary.clusterSizes) > 1
+            quality = ClusteringEvaluator(featuresCol="vector", predictionCol="cluster").evaluate(model.transform(scaled)) if several else None
+            rows.append((k, quality, model.summary.trainingCost))
+    finally:
+        release(stored)
+    best = max((row for row in rows if row[1] is not None), key=lambda row: (row[1], -row[0]), default=(None,))[0]
+    return features.sparkSession.createDataFrame([(*row, row[0] == best) for row in rows], "k int, silhouette double, cost double, best boolean")
 
 
 def cluster_stats(assigned: DataFrame, problems: Sequence[str] | None = None) -> DataFrame:
@@ -107,16 +144,19 @@ def cluster_names(stats: DataFrame) -> DataFrame:
     )
 
 
-def cluster_examples(assigned: DataFrame, n: int = 3) -> DataFrame:
-    """The ``n`` best scored entities of every cluster.
+def cluster_examples(assigned: DataFrame, n: int = 3, named: DataFrame | None = None) -> DataFrame:
+    """The ``n`` best scored entities of every cluster, with its ``name`` and ``tier`` where ``named`` (``cluster_names``) is given.
 
     The rank filter reaches below the shuffle (each task sends its own top ``n``),
     so a cluster holding most entities does not fill one task.
     """
     order = [F.col("mean_score").desc_nulls_last(), F.desc("n_scores"), F.col("entity")]
     rank = F.row_number().over(Window.partitionBy("cluster").orderBy(*order))
-    return (
+    best = (
         assigned.filter(F.col("cluster").isNotNull())
         .select("cluster", "entity", "mean_score", "n_scores", rank.alias("rank"))
         .filter(F.col("rank") <= n)
     )
+    if named is None:
+        return best
+    return best.join(named.select("cluster", "name", "tier"), "cluster").select("cluster", "name", "tier", "entity", "mean_score", "n_scores", "rank")

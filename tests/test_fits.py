@@ -231,6 +231,38 @@ def test_drift_is_that_of_the_farthest_feature(spark):
     assert all(r.drift < 1e-9 for r in diagnostics.center_drift(found.assigned, found.model).collect())
 
 
+def _silhouette(points, labels):
+    """Every point against every other."""
+    far = ((points[:, None] - points[None]) ** 2).sum(2)
+    out = []
+    for i, own in enumerate(labels):
+        mates = [j for j in np.flatnonzero(labels == own) if j != i]
+        if not mates:
+            out.append(0.0)
+            continue
+        a = far[i, mates].mean()
+        b = min(far[i, labels == other].mean() for other in set(labels) - {own})
+        out.append((b - a) / max(a, b))
+    return float(np.mean(out))
+
+
+def test_silhouettes_equal_brute_force(spark):
+    entities = _entities(spark, 80)
+    quality = {r.k: r for r in profiling.group_quality(entities).collect()}
+    assert sorted(quality) == [2, 3, 4, 5, 6]
+    for k, row in quality.items():
+        with profiling.cluster_entities(entities, k=k) as found:
+            rows = found.assigned.select("vector", "cluster").collect()
+        points, labels = np.array([r.vector.toArray() for r in rows]), np.array([r.cluster for r in rows])
+        assert row.silhouette == pytest.approx(_silhouette(points, labels), abs=1e-9)
+    assert [k for k, r in quality.items() if r.best] == [4] == [max(quality, key=lambda k: quality[k].silhouette)]
+
+
+def test_silhouette_of_equal_entities_is_unknown(spark):
+    same = spark.range(10).select(F.concat(F.lit("e"), F.col("id")).alias("entity"), *[F.lit(1.0).alias(c) for c in feature_columns()])
+    assert [(r.k, r.silhouette, r.best) for r in profiling.group_quality(same, ks=(2, 3)).collect()] == [(2, None, False), (3, None, False)]
+
+
 # --- lifetimes ----------------------------------------------------------------
 
 

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from opinara.functions import PRESTIGE_BINS, SCORE_BINS, Bins, first_match, hash_order, in_fraction
-from opinara.functions.text import any_part, mentions, whole_word
+from opinara.functions.text import any_part, first_word, mentions, whole_word
 
 
 def test_score_bins_are_half_open_and_nulls_go_last(frame):
@@ -72,3 +73,15 @@ def test_mentions_equals_the_pattern_alone(frame, make):
 def test_search_words_are_checked(words):
     with pytest.raises(ValueError):
         any_part(words)
+
+
+@pytest.mark.parametrize("words", [("works", "works late"), ("ring", "red", "widget"), ("a", "ab", "b c")])
+def test_first_word_is_what_the_plain_pattern_finds(frame, words):
+    draw = random.Random(len(words))
+    pieces = [*words, *(w.upper() for w in words), *(w.title() for w in words), " ", "-", "é", "x", "_", "1", "\n", "ſ", "K"]
+    texts = [None, "", *("".join(draw.choices(pieces, k=draw.randrange(12))) for _ in range(400))]
+    df = frame([(t,) for t in texts], "t string")
+    plain = rf"(?i)\b({'|'.join(words)})\b"
+    found = df.select(first_word(F.col("t"), words).alias("new"), F.nullif(F.regexp_extract("t", plain, 1), F.lit("")).alias("old"), F.col("t").rlike(whole_word(words)).alias("hit"), F.col("t").rlike(plain).alias("old_hit")).collect()
+    assert [(r.new, r.hit) for r in found] == [(r.old, r.old_hit) for r in found]
+    assert any(r.new for r in found) and not all(r.hit for r in found)

@@ -385,3 +385,24 @@ def test_hidden_risk_of_an_entity_without_scores(frame):
     for continuous in (False, True):
         found = risk.hidden_risk(df, min_disaster_pct=0.0, continuous_scores=continuous).collect()
         assert [(r.entity, r.n, r.disaster_count, r.p05, r.mean_score) for r in found] == [("e", 60, 0, None, None)]
+
+
+def test_equal_reviews_draw_apart_by_their_keys(frame):
+    df = frame([(i, "e", 5.0, "the works were loud") for i in range(40)], "id int, entity string, score double, neg_text string")
+    found = rows(keywords.keyword_samples(df, n=5, keys=("id",)))
+    assert len({r["id"] for r in found}) == 5 and sorted(r["id"] for r in found) != [0, 1, 2, 3, 4]
+    assert found == rows(keywords.keyword_samples(df.repartition(7), n=5, keys=("id",)))
+
+
+def test_keyword_verdict_shows_both_sides(frame):
+    impact = frame([(True, 6.0, 10, 0.2), (False, 7.0, 90, 0.1), (None, 5.0, 3, 0.5)], "has_keyword boolean, mean_score double, n long, ci95 double")
+    assert rows(keywords.keyword_verdict(impact)) == [
+        {"n_hit": 10, "n_other": 90, "mean_hit": 6.0, "mean_other": 7.0, "ci_hit": 0.2, "ci_other": 0.1, "diff": -1.0, "threshold": 0.3, "verdict": "strong"}
+    ]
+
+
+def test_keywords_are_searched_once(frame):
+    df = frame([("the works", 5.0)], "neg_text string, score double")
+    for found in (keywords.keyword_frequency(df), keywords.keyword_impact(df), keywords.keyword_summary(df)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("jackhammer") == 1  # the pattern's last word
