@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,10 +11,19 @@ from pyspark.sql import functions as F
 
 
 def ready(spark: SparkSession) -> None:
-    """Use the folder of ``spark.checkpoint.dir``; only where it is unset, as in tests, one of our own."""
+    """Use the folder of ``spark.checkpoint.dir``.
+
+    Where it is unset, a session on one machine, as in tests, gets a folder of its own; on a cluster, whose executors don't share one, that is an error.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    if context.getCheckpointDir() is not None:
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+    if folder is None:
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+    context.setCheckpointDir(folder)
 
 
 def stored(df: DataFrame) -> DataFrame:

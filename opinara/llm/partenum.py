@@ -27,7 +27,7 @@ from opinara.llm.components import components
 from opinara.llm.durable import stored, text_bytes, written
 
 BUCKET_BYTES = 4 << 20  # text for each bucket of signatures
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 BLOCK = 512  # sets on either side that are compared at once
 SIGNATURE = (1 << 40) - 1  # kept bits; equal ones by chance only cost a comparison
 
@@ -119,24 +119,23 @@ def _send(size: int, percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            for chunk in chunks(batch.column(1).take(pa.array(order)), CHUNK):
+            all_ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for chunk in chunks(batch.column(1), CHUNK):
+                ids = all_ids[chunk.first : chunk.first + len(chunk)]
                 row, grams = shingles(chunk, size)
                 first = np.searchsorted(row, np.arange(len(chunk) + 1))
                 sizes = np.diff(first)
                 held: dict[bytes, int] = {}
                 a, b, own = [], [], sizes > 0
-                for i in np.flatnonzero(own).tolist():  # equal sets: the first stands for them, the others link to it
-                    at = held.setdefault(grams[first[i] : first[i + 1]].tobytes(), i)
+                for i in np.argsort(ids, kind="stable").tolist():  # equal sets: the smallest id stands for them, the others link to it
+                    at = held.setdefault(grams[first[i] : first[i + 1]].tobytes(), i) if own[i] else i
                     if at != i:
                         own[i] = False
-                        a.append(int(ids[chunk.first + at]))
-                        b.append(int(ids[chunk.first + i]))
+                        a.append(int(ids[at]))
+                        b.append(int(ids[i]))
                 keep = own[row]
                 owner, found = signatures(row[keep], grams[keep], np.where(own, sizes, 0), bands)
-                doc = ids[chunk.first + owner]
+                doc = ids[owner]
                 bucket = ((found >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
                 found = (found & np.uint64(SIGNATURE)).astype(np.int64)
                 by = np.lexsort((doc, bucket))
@@ -244,8 +243,12 @@ def _match(size: int, percent: int):
     return run
 
 
-def _compared(texts: DataFrame, left: DataFrame, right: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between the documents of the same group ``g`` on the left and on the right, (g, doc, label) each."""
+def _compared(texts: DataFrame, left: DataFrame, right: DataFrame, size: int, percent: int, keep: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Links between the documents of the same group ``g`` on the left and on the right, (g, doc, label) each, and the texts of these and of the documents ``keep``.
+
+    Texts meet their documents once, by document, and are kept with their blocks: neither the comparison nor a
+    later one of some of the same documents goes back to all texts.
+    """
 
     def blocks(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
@@ -258,10 +261,15 @@ def _compared(texts: DataFrame, left: DataFrame, right: DataFrame, size: int, pe
     other = right.join(numbers, "g").select(
         "g", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), F.pmod(spot, F.col("columns")).cast("int").alias("j"), F.lit(1).alias("side"), "doc", "label"
     )
-    members = written(one.unionByName(other))
+    # a document's blocks in one row: its text is met, and kept, once
+    dealt = one.unionByName(other).select("doc", F.struct("g", "i", "j", "side", "label").alias("place"))
+    dealt = dealt if keep is None else dealt.unionByName(keep.select("doc"), allowMissingColumns=True)
+    members = dealt.groupBy("doc").agg(F.collect_list("place").alias("places"))
     # texts take a third of the room of their shingles' hashes, so they travel and are cut where they arrive
-    rows = members.join(texts, "doc").select("g", "i", "j", "side", "doc", "label", "text")
-    return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side").mapInArrow(_match(size, percent), "a long, b long")
+    met = written(texts.join(members.hint("merge"), "doc"))
+    rows = met.select("doc", "text", F.inline("places")).select("g", "i", "j", "side", "doc", "label", "text")
+    links = rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side").mapInArrow(_match(size, percent), "a long, b long")
+    return links, met.select("doc", "text")
 
 
 def set_sizes(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -287,7 +295,8 @@ def similar_links(docs: DataFrame, key: str = "doc_id", text: str = "text", shin
     rest = tested.select(F.col("pivot").alias("g"), "doc", F.col("doc").alias("label"))
     first = rest.select("g", F.col("g").alias("doc"), F.col("g").alias("label")).distinct()
     equal = groups.where("size = 0").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
-    links = stored(equal.unionByName(_compared(texts, first, rest, shingle, percent)).distinct())
+    found, met = _compared(texts, first, rest, shingle, percent, keep=groups.where("size > 0").select("doc").distinct())
+    links = stored(equal.unionByName(found).distinct())
     labels = components(links)
 
     # documents of a signature that are still in several components
@@ -304,7 +313,8 @@ def similar_links(docs: DataFrame, key: str = "doc_id", text: str = "text", shin
     mixed = stored(whole.join(largest, "g"))
     right = mixed.select("g", "doc", "label")
     left = mixed.where("label <> largest").select("g", "doc", "label")
-    links = stored(links.unionByName(_compared(texts, left, right, shingle, percent)).distinct())
+    found, _ = _compared(met, left, right, shingle, percent)
+    links = stored(links.unionByName(found).distinct())
     return links, components(links)
 
 

@@ -94,6 +94,20 @@ def text_measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, {FEATURES}")
 
 
+def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
+    """All rows and columns with the figures of ``FEATURES`` beside them; a null text is empty.  No column may have the name of a figure."""
+    at = docs.columns.index(text)
+    schema = docs.limit(0).withColumns({f.split()[0]: F.lit(0).cast("long") for f in FEATURES.split(", ")}).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column(at)):
+                some = batch.slice(chunk.first, len(chunk))
+                yield pa.RecordBatch.from_arrays([*some.columns, *(pa.array(v, pa.int64()) for v in measure(chunk).values())], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def share(part: str, whole: str) -> Column:
     return F.col(part) / F.greatest(F.col(whole), F.lit(1))
 
