@@ -244,6 +244,38 @@ def test_recall_of_changed_passages(spark, docs):
     assert all(c >= least for c, (_, _, least) in zip(counts, kinds, strict=True)), counts
 
 
+PART_KINDS = [(10, 100, 20), (10, 100, 30), (20, 100, 20), (20, 100, 30), (10, 60, 20), (10, 60, 30)]  # percent changed, words, words of a part
+
+
+def held_in_parts(n=60):
+    """For each kind ``n`` passages and changed copies of them, whose parts all have smaller documents of their own as well."""
+    rng, parts, pairs = random.Random(77), [], []
+
+    def fresh(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    for kind, (percent, n_words, part) in enumerate(PART_KINDS):
+        for _ in range(n):
+            base = fresh(n_words)
+            other = list(base)
+            for j in rng.sample(range(1, n_words - 1), n_words * percent // 100):
+                other[j] = f"changed{rng.randrange(10**9)}"
+            parts += [fresh(10) + base[at : at + part] + fresh(10) for at in range(0, n_words, part)]
+            pairs.append((kind, fresh(30) + base + fresh(30), fresh(30) + other + fresh(30)))
+    return parts, pairs
+
+
+def test_recall_where_parts_have_other_holders(spark, docs):
+    parts, pairs = held_in_parts()
+    rows = [" ".join(p) for p in parts] + [" ".join(t) for _, *both in pairs for t in both]
+    first = len(parts)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {r.doc_id for r in chaining.repeated_passages(df).collect() if r.doc_id >= first and (r.doc_id - first) % 2 == 1 and r.source_id == r.doc_id - 1}
+    counts = Counter(kind for i, (kind, *_) in enumerate(pairs) if first + 2 * i + 1 in found)
+    print("found of 60:", [counts[k] for k in range(len(PART_KINDS))])
+    assert all(counts[k] >= 54 for k in range(len(PART_KINDS)))
+
+
 def test_cut_takes_words_and_keeps_the_rest():
     assert chaining.cut("a  bé c\nd", [(1, 2)]) == "a\nd"
     assert chaining.cut("a b", [(0, 5)]) == ""
