@@ -113,66 +113,71 @@ def share(part: str, whole: str) -> Column:
 
 
 def votes() -> dict[str, Column]:
-    """The voting rules: +1 keep, -1 reject, 0 abstain.  Bands between the two limits abstain."""
+    """The voting rules: +1 keep, -1 reject, 0 abstain.
 
-    def rule(reject: Column, keep: Column) -> Column:
-        return F.when(reject, -1).when(keep, 1).otherwise(0)
+    A rule speaks where its figure says something.  Few texts repeat their lines or shout, so that one doesn't is no reason to keep it: such rules
+    reject or abstain.  Rules on the make-up of a text vote both ways, with a band between in which they abstain.
+    """
+
+    def rule(reject: Column, keep: Column | None = None) -> Column:
+        vote = F.when(reject, -1)
+        return (vote if keep is None else vote.when(keep, 1)).otherwise(0)
 
-    mean = share("word_chars", "n_words")
+    mean, symbols, letters = share("word_chars", "n_words"), share("n_symbols", "n_words"), share("n_letters", "n_chars")
+    marks = (F.col("word_chars") - F.col("n_letters")) / F.greatest("word_chars", F.lit(1))
     return {
-        "length": rule(F.col("n_words") < 20, F.col("n_words").between(50, 50_000)),
-        "word_length": rule((mean < 2.5) | (mean > 14), mean.between(3.5, 10)),
-        "symbols": rule(share("n_symbols", "n_words") > 0.2, share("n_symbols", "n_words") < 0.02),
-        "lines": rule(share("n_dup_lines", "n_lines") > 0.3, F.col("n_dup_lines") == 0),
-        "repeats": rule(share("n_repeat_words", "n_words") > 0.3, share("n_repeat_words", "n_words") < 0.05),
-        "capitals": rule(share("n_upper", "n_chars") > 0.4, share("n_upper", "n_chars") < 0.1),
-        "letters": rule(share("n_letters", "n_chars") < 0.55, share("n_letters", "n_chars") > 0.7),
-        "sentences": rule((F.col("n_words") >= 50) & (F.col("n_stops") == 0), share("n_stops", "n_words").between(0.02, 0.25)),
+        "length": rule(F.col("n_words") < 20),
+        "word_length": rule((mean < 2.5) | (mean > 14)),
+        "symbols": rule(symbols > 0.1, symbols < 0.02),
+        "marks": rule(marks > 0.15, marks < 0.06),
+        "letters": rule(letters < 0.74, letters > 0.77),
+        "lines": rule(share("n_dup_lines", "n_lines") > 0.3),
+        "repeats": rule(share("n_repeat_words", "n_words") > 0.3),
+        "capitals": rule(share("n_upper", "n_chars") > 0.4),
+        "sentences": rule((F.col("n_words") >= 50) & (F.col("n_stops") == 0)),
     }
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, prior: float = 0.85) -> tuple[np.ndarray, np.ndarray, float]:
+def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray, float]:
     """Rule accuracies and each pattern's posterior of good quality, by expectation-maximisation.
 
-    ``patterns``: votes (-1, 0, 1), a row per pattern.  Accuracies stay within 0.55 and 0.99: a rule
-    is taken to be better than chance, which fixes which of the two classes is the good one.
+    ``patterns``: votes (-1, 0, 1), a row per pattern.  It starts from the majority of the votes, halves where they are even.  Accuracies stay within
+    0.55 and 0.99: a rule is taken to be better than chance, which fixes which of the two classes is the good one.
     """
-    accuracy = np.full(patterns.shape[1], 0.8)
-    posterior = np.full(len(patterns), prior)
-    total = max(counts.sum(), 1)
+    new = (1 + np.sign(patterns.sum(1))) / 2
+    accuracy, prior, total = np.full(patterns.shape[1], 0.8), 0.5, max(counts.sum(), 1)
     for _ in range(rounds):
+        posterior = new
+        agree = (counts[:, None] * np.where(patterns > 0, posterior[:, None], np.where(patterns < 0, 1 - posterior[:, None], 0))).sum(0)
+        voted = (counts[:, None] * (patterns != 0)).sum(0)
+        accuracy = np.clip((agree + 4) / (voted + 5), 0.55, 0.99)
+        prior = float(np.clip((counts * posterior).sum() / total, 0.05, 0.95))
         right, wrong = np.log(accuracy), np.log(1 - accuracy)
         good = np.where(patterns > 0, right, 0).sum(1) + np.where(patterns < 0, wrong, 0).sum(1) + np.log(prior)
         bad = np.where(patterns > 0, wrong, 0).sum(1) + np.where(patterns < 0, right, 0).sum(1) + np.log(1 - prior)
         new = 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))
-        agree = (counts[:, None] * np.where(patterns > 0, new[:, None], np.where(patterns < 0, 1 - new[:, None], 0))).sum(0)
-        voted = (counts[:, None] * (patterns != 0)).sum(0)
-        accuracy = np.clip((agree + 4) / (voted + 5), 0.55, 0.99)
-        prior = float(np.clip((counts * new).sum() / total, 0.05, 0.95))
         if np.abs(new - posterior).max(initial=0) < 1e-9:
             break
-        posterior = new
     return accuracy, new, prior
 
 
 def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
-    """Each document with its figures, the base verdict, the posterior and ``kept``.
+    """Each document with its figures, the base verdict, ``kept`` and the posterior.
 
-    A null text is empty; an empty text has zero figures and fails the base rule.  Rows that repeat a key,
-    and rows with a null key, are judged each on its own.  Other columns are not read.
+    A document is kept if it passes the base rule and its posterior is ``least`` or more.  A null text is empty; an empty text has zero figures and
+    fails the base rule.  Rows that repeat a key, and rows with a null key, are judged each on its own.  Other columns are not read.
     """
     rules = votes()
-    measured = stored(text_measures(docs, key, text).withColumns({f"vote_{k}": v.cast("tinyint") for k, v in rules.items()}))
-    names = [f"vote_{k}" for k in rules]
-    code = sum(((F.col(c).cast("int") + 1) * 3**i for i, c in enumerate(names)), F.lit(0))
-    rows = measured.groupBy(code.alias("code")).count().collect()  # at most 3**8 patterns
+    code = sum(((v + 1) * 3**i for i, v in enumerate(rules.values())), F.lit(0)).cast("int")
+    measured = stored(text_measures(docs, key, text).withColumn("code", code))
+    rows = measured.groupBy("code").count().collect()  # at most 3**rules patterns
     codes = np.array(sorted(r["code"] for r in rows), np.int64)
     count = {r["code"]: r["count"] for r in rows}
-    patterns = (codes[:, None] // 3 ** np.arange(len(names))) % 3 - 1
-    _, posterior, _ = estimate(patterns, np.array([count[c] for c in codes], float)) if len(codes) else (None, np.zeros(0), 0)
-    table = F.create_map(*[F.lit(x) for c, p in zip(codes.tolist(), posterior.tolist(), strict=True) for x in (c, p)]) if len(codes) else F.lit(None).cast("map<int,double>")
+    patterns = (codes[:, None] // 3 ** np.arange(len(rules))) % 3 - 1
+    _, posterior, _ = estimate(patterns, np.array([count[c] for c in codes], float))
+    judged = docs.sparkSession.createDataFrame([(int(c), float(p)) for c, p in zip(codes, posterior, strict=True)], "code int, posterior double")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return measured.select(
+    return measured.join(F.broadcast(judged), "code").select(
         key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        table[code].alias("posterior"), (~failed & (table[code] >= least)).alias("kept"),
+        (~failed & (F.col("posterior") >= least)).alias("kept"), "posterior",
     )

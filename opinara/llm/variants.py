@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.durable import stored
@@ -87,36 +87,39 @@ def word_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", least_
     return named.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _key(length: Column) -> Column:
-    """What a word shows to a chunk holder of ``length`` that has all but ``a .. length - b`` in common with it."""
-    return F.xxhash64(length, "a", "b", F.substring("word", F.lit(1), F.col("a")), F.expr("right(word, b)"))
-
-
 def _halved(rows: DataFrame) -> DataFrame:
-    """Each row twice: what was open, without its first half and without the rest of it."""
-    half = F.floor((F.col("len") - F.col("a") - F.col("b")) / 2).cast("int")
-    ends = F.array(F.struct((F.col("a") + half).alias("a"), F.col("b").alias("b")), F.struct(F.col("a").alias("a"), (F.col("len") - F.col("a") - half).alias("b")))
-    return rows.select("word", "n", "len", "grams", F.inline(ends)).withColumn("chunk", _key(F.col("len")))
+    """Each row twice, its chunk being all of the word but what is open: of that the first half is taken in, or else the second.
+
+    Of a single open letter beside an inserted one either the one or the other side is taken in.
+    """
+    is_open = F.col("len") - F.col("a") - F.col("b")
+    least = F.col("longer").cast("int")
+    half = F.greatest(F.floor(is_open / 2), least).cast("int")
+    rest = F.greatest(is_open - half, least)
+    ends = F.array(F.struct((F.col("a") + half).alias("a"), F.col("b").alias("b")), F.struct(F.col("a").alias("a"), (F.col("b") + rest).alias("b")))
+    return rows.select("word", "n", "len", "longer", "grams", F.inline(ends)).withColumn(
+        "chunk", F.xxhash64("len", "longer", "a", "b", F.substring("word", F.lit(1), F.col("a")), F.expr("right(word, b)"))
+    )
 
 
 def near_pairs(words: DataFrame, group: int = GROUP) -> DataFrame:
     """All pairs of distinct words that differ by one inserted, deleted or replaced code point, each once: ``left``, ``left_n``, ``right``, ``right_n``.
 
-    ``words`` has a row for each ``word``, with its ``n``.
+    ``words`` has a row for each ``word``, with its ``n``.  Pairs of equally long words and of words of which one is ``longer`` are looked for apart.
     """
-    length = F.char_length("word")
-    whole = words.select("word", "n", F.lit(0).alias("a"), F.lit(0).alias("b"), length.alias("own"))
-    chunks = whole.withColumns({"len": F.col("own"), "grams": F.lit(False)})
-    grams = whole.where("own > 1").withColumns({"len": F.col("own") - 1, "grams": F.lit(True)})
-    rows, found = chunks.unionByName(grams).drop("own"), []
-    n_all, left_open = F.col("n_chunks") + F.col("n_grams"), F.col("len") - F.col("a") - F.col("b")
+    size = F.char_length("word")
+    whole = words.where(size > 0).select("word", "n", F.lit(0).alias("a"), F.lit(0).alias("b"), size.alias("own"))
+    kinds = ((F.col("own"), False, False), (F.col("own"), True, False), (F.col("own") - 1, True, True))
+    parts = [whole.where(length > 0).withColumns({"len": length, "longer": F.lit(longer), "grams": F.lit(grams)}).drop("own") for length, longer, grams in kinds]
+    rows, found = reduce(DataFrame.unionByName, parts), []
+    # equally long words are at last open in one code point, and all make pairs then; of the others only the inserted one is open
+    closed = F.when(F.col("longer"), 0).otherwise(1)
+    n_all, paired = F.col("n_chunks") + F.col("n_grams"), (F.col("n_chunks") > 0) & F.when(F.col("longer"), F.col("n_grams") > 0).otherwise(F.col("n_chunks") > 1)
     while not found or not rows.isEmpty():
         rows = _halved(rows)
         sizes = rows.groupBy("chunk").agg(F.count_if("grams").alias("n_grams"), F.count_if(~F.col("grams")).alias("n_chunks"))
-        # equally long words are at last open in one code point, of which each makes a pair; the others in none but the inserted one
-        large = (n_all > group) & (left_open > F.when(F.col("n_grams") > 0, 0).otherwise(1))
-        dealt = rows.join(sizes.where((F.col("n_chunks") > 0) & (n_all > 1)), "chunk")
-        kept = stored(dealt.withColumn("large", large).drop("n_grams", "n_chunks"))
+        large = (n_all > group) & (F.col("len") - F.col("a") - F.col("b") > closed)
+        kept = stored(rows.join(sizes, "chunk").where(paired).withColumn("large", large).drop("n_grams", "n_chunks"))
         found.append(_compared(kept.where("not large")))
         rows = kept.where("large").drop("large", "chunk")
     return reduce(DataFrame.unionByName, found).distinct()  # repeated letters make a pair meet in both halves
@@ -125,7 +128,7 @@ def near_pairs(words: DataFrame, group: int = GROUP) -> DataFrame:
 def _compared(rows: DataFrame) -> DataFrame:
     """Pairs within the groups of the chunks that are one edit apart."""
     side = rows.where("not grams").select("chunk", F.col("word").alias("left"), F.col("n").alias("left_n"))
-    other = rows.select("chunk", "grams", F.col("word").alias("right"), F.col("n").alias("right_n"))
+    other = rows.where("grams or not longer").select("chunk", "grams", F.col("word").alias("right"), F.col("n").alias("right_n"))
     pairs = side.join(other, "chunk").where((F.col("grams") | (F.col("left") < F.col("right"))) & (F.levenshtein("left", "right", 1) == 1))
     return pairs.select("left", "left_n", "right", "right_n")
 
