@@ -60,6 +60,57 @@ def test_posteriors_follow_planted_accuracies():
     assert ((posterior[back.ravel()] > 0.5) == good).mean() > 0.9
 
 
+def test_posteriors_of_rows_are_those_of_their_patterns():
+    """EM over single rows, written out row by row, gives what EM over counted patterns gives."""
+    rng = np.random.default_rng(5)
+    good = rng.random(300) < 0.8
+    votes = np.where(rng.random((300, 5)) < 0.85, np.where(good, 1, -1)[:, None], np.where(good, -1, 1)[:, None])
+    votes[rng.random(votes.shape) < 0.4] = 0
+    patterns, back, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    _, posterior, prior = rules.estimate(patterns, counts.astype(float))
+
+    chance = [1.0 if sum(v) > 0 else 0.0 if sum(v) < 0 else 0.5 for v in votes.tolist()]
+    for _ in range(200):
+        accuracy = []
+        for j in range(5):
+            right = sum(p if v[j] > 0 else 1 - p for v, p in zip(votes.tolist(), chance, strict=True) if v[j])
+            accuracy.append(min(0.99, max(0.55, (right + 4) / (sum(v[j] != 0 for v in votes.tolist()) + 5))))
+        share = min(0.95, max(0.05, sum(chance) / len(chance)))
+        new = []
+        for v in votes.tolist():
+            yes, no = share, 1 - share
+            for j, vote in enumerate(v):
+                if vote:
+                    yes *= accuracy[j] if vote > 0 else 1 - accuracy[j]
+                    no *= accuracy[j] if vote < 0 else 1 - accuracy[j]
+            new.append(yes / (yes + no))
+        done = max(abs(a - b) for a, b in zip(new, chance, strict=True)) < 1e-9
+        chance = new
+        if done:
+            break
+    assert np.abs(posterior[back.ravel()] - np.array(chance)).max() < 1e-6 and abs(prior - sum(chance) / len(chance)) < 1e-6
+
+
+def test_the_verdict_is_more_than_the_base_rule(spark, docs):
+    """Junk that passes the base rule is rejected, prose with a single odd figure is kept."""
+    rng = random.Random(6)
+
+    def prose(n):
+        return " ".join("".join(rng.choices(["the", "ing", "wh", "ou", "er", "ed"], k=2)) for _ in range(n)) + "."
+
+    clean = [prose(80) for _ in range(160)] + ["\n".join([prose(30)] * 1 + [prose(40)]) for _ in range(20)]
+    junk = [" ".join(w + rng.choice(["***", "$$$", "###", "%%%"]) for w in prose(80).split()) for _ in range(30)]
+    tables = [" | ".join(prose(80).split()) for _ in range(20)]
+    rows = list(enumerate([*clean, *junk, *tables, "too short", prose(10)]))
+    out = rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out.columns.index("kept") < out.columns.index("posterior")
+    found = {r.doc_id: r for r in out.collect()}
+    n = len(clean)
+    assert all(found[i].kept for i in range(n))
+    assert not any(found[i].kept or found[i].base_failed for i in range(n, n + 50))
+    assert all(found[i].base_failed and not found[i].kept for i in (n + 50, n + 51))
+
+
 def plain_spans(text):
     kinds = (
         ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I), lambda m: len(m[2]) >= 6),
