@@ -1,8 +1,10 @@
 """Secret scans by assignment-aware lexing.
 
-A line of source or configuration is read as name-literal pairs (``name = "literal"``, ``name: literal``,
-``name := literal``, ``name => literal``).  Names bound to a literal are constants of their text;
-a later ``other = name`` hands the literal's place on to the other name.  A literal is reported when a
+Source and configuration are read as name-literal pairs: ``name = literal``, ``name: literal``, ``name := literal``, ``name => literal``, with an annotation
+(``name: type = literal``), a subscript (``table["name"] = literal``), a tag (``<name>literal</name>``), or with the literal on the next, deeper
+line of a YAML block.  A literal stands in quotes of any kind, with a prefix, over several lines in triple quotes or
+backticks, or bare to the next space; literals joined by ``+`` are one.  Names bound to a literal are constants until a line begins
+further left than theirs; a later ``other = name`` hands the literal's place on to the other name.  A literal is reported when a
 name it reaches is sensitive and the literal looks random enough for that name.
 Pattern spans of the three plain kinds are always kept beside the method's own.
 """
@@ -34,10 +36,28 @@ SENSITIVE = {
 HARMLESS = {"public", "count", "length", "limit", "size", "name", "type", "id", "index", "path", "url", "file", "test", "example", "sample", "dummy", "placeholder"}
 
 # No length ends a name or a literal: possessive parts keep this linear.  A quoted literal holds escapes as they are written.
+_QUOTED = (
+    r"""(?:[bBrRfFuU]{1,2}(?=["'`]))?+(?:\"\"\"((?:[^"\\]|\\(?s:.)|"(?!""))*+)\"\"\"|'''((?:[^'\\]|\\(?s:.)|'(?!''))*+)'''"""
+    r"""|"((?:[^"\n\\]|\\(?s:.))++)"|'((?:[^'\n\\]|\\(?s:.))++)'|`((?:[^`\\]|\\(?s:.))++)`)"""
+)
+_BARE = r"([A-Za-z0-9+/_.=$!@#%^&*~?-]++(?![(\[]))"
+_NEXT_LINE = r"[ \t]*+(?:[|>][-+]?[ \t]*+)?\r?\n[ \t]++(?=[^\r\n:]*+(?:\r?\n|\Z))"
 _PAIR = re.compile(
-    r"""(?<![\w.$-])["']?([A-Za-z_][\w.$-]*+)["']?[ \t]*+(?::=|=>|=(?![=~])|:(?![:/]))[ \t]*+(?:"((?:[^"\n\\]|\\(?s:.))++)"|'((?:[^'\n\\]|\\(?s:.))++)'|([A-Za-z0-9+/_.=$-]++))""",
+    r"""(?<![\w.$-])["']?([A-Za-z_][\w.$-]*+)["']?\]?[ \t]*+"""
+    r"""(?::[ \t]*+[A-Za-z_][\w.]*+(?:\[[^\]\n]*+\])?[ \t]*+=(?![=~>])|:=|=>|=(?![=~])|:(?![:/])(?:"""
+    + _NEXT_LINE
+    + r""")?+)[ \t]*+(?:"""
+    + _QUOTED
+    + "|"
+    + _BARE
+    + ")",
     re.ASCII,
 )
+_JOINED = re.compile(r"[ \t]*+\+[ \t]*+(?:\r?\n[ \t]*+)?" + _QUOTED, re.ASCII)
+_TAG = re.compile(r"<([A-Za-z_][\w.-]*+)>[ \t]*+([^<>\n]++)</\1>", re.ASCII)
+_LINE = re.compile(r"^([ \t]*+)\S", re.MULTILINE)
+#: Groups of the patterns that hold a literal; the last one is bare.
+_LITERALS = range(2, 8)
 _PEM = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*\Z")
@@ -68,23 +88,66 @@ def literal_score(value: str, spaced: bool = False) -> int:
     return (len(value) >= 16) + (kinds >= 2) + (entropy(value) >= 3) + (kinds >= 3)
 
 
+class _Scopes:
+    """Constants by name, gone when a line begins further left than the one that bound them."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.at, self.indent = text, 0, 0
+        self.bound: list[tuple[int, str]] = []
+        self.known: dict[str, list[list[tuple[int, int]]]] = {}
+
+    def reach(self, place: int) -> int:
+        """Closes what ends before ``place``; how far its line is indented."""
+        for m in _LINE.finditer(self.text, self.at, place + 1):
+            self.indent = len(m[1])
+            while self.bound and self.bound[-1][0] > self.indent:
+                self.known[self.bound.pop()[1]].pop()
+        self.at = max(self.at, place + 1)
+        return self.indent
+
+    def bind(self, indent: int, name: str, spans: list[tuple[int, int]]) -> None:
+        self.bound.append((indent, name))
+        self.known.setdefault(name, []).append(spans)
+
+    def of(self, name: str) -> list[tuple[int, int]] | None:
+        held = self.known.get(name)
+        return held[-1] if held else None
+
+
+def _literal(m: re.Match) -> tuple[int, int]:
+    return next(m.span(k) for k in range(1, len(m.groups()) + 1) if m[k] is not None)
+
+
+def _told(name: str, value: str) -> bool:
+    weight = name_score(name)
+    return weight >= 2 and literal_score(value, weight >= 3) >= (2 if weight >= 3 else 3)
+
+
 def lexed(text: str) -> list[tuple[int, int]]:
     """Spans of literals that a sensitive name takes, directly or through constants."""
-    constants: dict[str, tuple[int, int]] = {}
-    found: set[tuple[int, int]] = set()
+    scopes, found = _Scopes(text), set()
     for m in _PAIR.finditer(text):
-        name, group = m[1], 2 if m[2] is not None else 3 if m[3] is not None else 4
-        value, span = m[group], m.span(group)
-        if group == 4 and _WORD.match(value):
-            if value in constants:
-                span = constants[value]
-                value = text[span[0] : span[1]]
-            elif "." in value or len(value) < 16:
+        name, bare = m[1], m[_LITERALS[-1]]
+        spans = [next(m.span(k) for k in _LITERALS if m[k] is not None)]
+        indent = scopes.reach(m.start(1))
+        if bare is not None:
+            if "://" in text[spans[0][0] : spans[0][1] + 3]:  # an address
                 continue
-        constants[name] = span
-        name_weight = name_score(name)
-        if name_weight >= 2 and literal_score(value, name_weight >= 3) >= (2 if name_weight >= 3 else 3):
-            found.add(span)
+            if _WORD.match(bare):
+                held = scopes.of(bare)
+                if held is None and ("." in bare or len(bare) < 16):
+                    continue
+                spans = held or spans
+        else:
+            end = m.end()
+            while more := _JOINED.match(text, end):
+                spans.append(_literal(more))
+                end = more.end()
+        scopes.bind(indent, name, spans)
+        if _told(name, "".join(text[a:b] for a, b in spans)):
+            found.update(spans)
+    if "</" in text:
+        found.update(m.span(2) for m in _TAG.finditer(text) if _told(m[1], m[2].strip()))
     return sorted(found)
 
 
@@ -94,7 +157,7 @@ KINDS = ("assign", "access", "hex", "lexed")
 def scan(text: str) -> list[tuple[int, int, str]]:
     """All spans as (start, end, kind): those of the plain patterns, then the method's further ones."""
     spans: list[tuple[int, int, int]] = []
-    if "=" in text or ":" in text:
+    if "=" in text or ":" in text or "</" in text:
         if ASSIGN.search(text):
             spans += [(*m.span(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_VALUE]
         spans += [(*s, 3) for s in lexed(text)]

@@ -162,8 +162,50 @@ def test_literals_are_found_whole(name, literal, quote):
         assert secrets.lexed(text) == []  # too short, but the pair after it is read
 
 
+KEY = "Zk8vQ2xP9wLm4T7a"
+
+
+@pytest.mark.parametrize(
+    "form",
+    [
+        'db_password: str = "{}"', 'const apiSecret: string = "{}"', 'os.environ["DB_PASSWD_X"] = "{}"', 'db_pwd = b"{}"', 'db_pwd = f"{}"', "db_pwd = rb'{}'", 'db_pwd = """{}"""',
+        "db_pwd = \'\'\'{}\'\'\'", "let dbPwd = `{}`;", "<db_pwd>{}</db_pwd>", "db_pwd:\n  {}\nother: 1", 'db_pwd: |\n    {}\n', 'db_pwd:\n  "{}"', "db_pwd = {}!x@y", "db_pwd: {}", "client_secret: Dict[str, str] = '{}'",
+    ],
+)
+def test_forms_of_assignment(form):
+    for name in ("", "x = 1\n"):
+        text = name + form.format(KEY) + "\nlimit = 500"
+        spans = secrets.lexed(text)
+        assert any(text[a:b].startswith(KEY) for a, b in spans) and len(spans) == 1, (text, spans)
+        assert KEY not in secrets.mask(text, secrets.scan(text))
+        plain = text.replace("db_pwd", "note_text").replace("dbPwd", "noteText").replace("db_password", "note").replace("apiSecret", "caption").replace("DB_PASSWD_X", "GREETING").replace("client_secret", "labels")
+        assert secrets.lexed(plain) == []
+
+
+def test_joined_literals_are_one():
+    text = 'db_pwd = "Zk8vQ2" + "xP9wLm4" + \n  "T7a"\nnote = "Zk8vQ2" + "xP9wLm4"'
+    assert [text[a:b] for a, b in secrets.lexed(text)] == ["Zk8vQ2", "xP9wLm4", "T7a"]
+
+
+def test_constants_end_with_their_scope():
+    text = f'def f():\n    base = "{KEY}"\n    use(base)\n\ndef g():\n    db_pwd = base\n'
+    assert secrets.lexed(text) == []
+    inside = f'base = "{KEY}"\ndef g():\n    db_pwd = base\n'
+    assert [inside[a:b] for a, b in secrets.lexed(inside)] == [KEY]
+    shadowed = f'base = "harmless word"\ndef g():\n    base = "{KEY}"\n    db_pwd = base\ndb_pwd2 = base\n'
+    assert [shadowed[a:b] for a, b in secrets.lexed(shadowed)] == [KEY]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["token = get_token(user)", "password = config.get('x')", "auth_token: https://example.com/a/B/c/1234567890", "db_pwd == other", "password:\n  value: short", "<db_pwd></db_pwd>", "db_pwd = ''", "secret: str", "password: str = None", 'db_pwd = """'],
+)
+def test_harmless_twins(text):
+    assert secrets.lexed(text) == []
+
+
 def test_lexing_takes_time_by_length():
-    for text in ('k="\\" ' * 200_000, "k = 'a" + "\\\\" * 300_000, "a." * 300_000, "k" + " " * 500_000, "k=" * 300_000):
+    for text in ('k="""' * 100_001, "k=`" * 100_001, "k:\n " * 100_000, '<a>x' * 100_000, 'k="a"+' * 100_000, "  k=1\n k=2\n" * 50_000, "k: a" * 100_000, 'k="\\" ' * 200_000, "k = 'a" + "\\\\" * 300_000, "a." * 300_000, "k" + " " * 500_000, "k=" * 300_000):
         began = time.process_time()
         secrets.lexed(text)
         assert time.process_time() - began < 10
