@@ -42,7 +42,9 @@ class Vocabulary:
         plain = [i for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i))]
         found = {model.id_to_piece(i): i for i in plain}
         own = [i for i in range(model.vocab_size()) if model.is_byte(i)]
-        return cls({p: model.get_score(i) for p, i in found.items()}, found, own, merges=True)
+        scores = {p: model.get_score(i) for p, i in found.items()}
+        # a merge model scores its pieces by their rank, a unigram model by their log probability
+        return cls(scores, found, own, merges=all(score.is_integer() for score in scores.values()))
 
     def merged(self, text: str) -> list[str]:
         """What merging the best neighbours, leftmost first, gives: for short strings."""

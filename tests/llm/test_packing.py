@@ -109,3 +109,27 @@ def test_round_trip(docs, nothing):
     both = pieces.decode_ids(pieces.encode_texts(docs, MODEL), MODEL).collect()
     assert all(r.decoded == (r.text or "") for r in both)
     assert pieces.encode_and_check(nothing, MODEL).count() == 0
+
+
+def test_a_unigram_model_is_read_as_one(tmp_path):
+    """A model file written by hand, whose best paths are not what merging would give."""
+    proto = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    from sentencepiece import SentencePieceProcessor
+
+    model = proto.ModelProto()
+    model.trainer_spec.model_type = 1  # unigram
+    model.normalizer_spec.name = "identity"
+    model.pieces.add(piece="<unk>", score=0.0, type=2)
+    plain = {"▁": -3.25, "a": -2.5, "b": -2.75, "c": -4.125, "ab": -4.5, "bc": -3.125, "▁a": -3.75, "abc": -8.5, "cab": -5.25, "▁ab": -5.75}
+    for piece, score in plain.items():
+        model.pieces.add(piece=piece, score=score, type=1)
+    path = tmp_path / "unigram.model"
+    path.write_bytes(model.SerializeToString())
+    vocabulary = pieces.Vocabulary.load(str(path))
+    assert not vocabulary.merges and pieces.Vocabulary.load(MODEL).merges
+    theirs, draw = SentencePieceProcessor(model_file=str(path)), random.Random(3)
+    words = ["".join(draw.choices("abc", k=draw.randint(1, 9))) for _ in range(200)]
+    own = dict(pieces.segment(sorted({"▁" + w for w in words}), vocabulary))
+    for w in words:
+        score = sum(plain[p] for p in own["▁" + w])
+        assert score == pytest.approx(sum(plain[p] for p in theirs.encode(w, out_type=str)))
