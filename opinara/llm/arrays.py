@@ -155,10 +155,3 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
         out = np.minimum(out[: len(out) - step], out[step:])
         have += step
     return out
-
-
-def text_key(chunk: Chunk, i: int) -> bytes:
-    """128-bit identity of a whole text."""
-    import xxhash
-
-    return xxhash.xxh3_128_digest(chunk.raw(i))
