@@ -110,6 +110,17 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((sums[end] - sums[start]) * powers(_INVERSE, n + 1)[start] + (end - start).astype(np.uint64))
 
 
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, size: int = 1 << 17) -> np.ndarray:
+    """``span_hashes`` of spans in rising order, some bytes of the text at a time."""
+    out, first = np.empty(len(start), np.uint64), 0
+    while first < len(start):
+        last = max(first + 1, int(np.searchsorted(start, start[first] + size)))
+        lo = start[first]
+        out[first:last] = span_hashes(data[lo : end[last - 1]], start[first:last] - lo, end[first:last] - lo)
+        first = last
+    return out
+
+
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` bytes from every place on, the same as ``span_hashes`` up to its mark of the length."""
     n = len(data) - size + 1

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.arrays import LOWER, Chunk, chunks, mix, ngrams, span_hashes, words
+from opinara.llm.arrays import LOWER, Chunk, chunks, mix, ngrams, word_hashes, words
 from opinara.llm.blobs import joined, packed
 from opinara.llm.components import components
 from opinara.llm.durable import stored, text_bytes, written
@@ -36,7 +36,7 @@ def shingles(chunk: Chunk, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of every row: (row, hash), sorted.  Fewer words than ``size`` are one shingle."""
     lower = LOWER[chunk.data]
     found = words(chunk)
-    hashes = span_hashes(lower, found.start, found.end)
+    hashes = word_hashes(lower, found.start, found.end)
     grams, at = ngrams(hashes, found.row, size)
     row = found.row[at]
     first = found.first_of(len(chunk))
