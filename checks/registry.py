@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara.functions import rounded
+from opinara.functions.text import chars
 from opinara.operators import cleaning, features, gap, keywords, lengths, overview, places
 from opinara.operators import reliability, risk, segments, travellers
 from opinara.operators.vocabulary import vocabulary
@@ -43,8 +44,8 @@ def clean_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = cleaning.clean_reviews(star.raw_reviews(spark, sf_dir))
     return kept.withColumns(
         {
-            "neg_chars": F.length("neg_text"),
-            "pos_chars": F.length("pos_text"),
+            "neg_chars": chars(F.col("neg_text")),
+            "pos_chars": chars(F.col("pos_text")),
             "neg_md5": F.md5("neg_text"),
             "pos_md5": F.md5("pos_text"),
         }
@@ -367,7 +368,7 @@ def sentiment_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         sentiment.sentiment_corpus(texts)
         .groupBy("label")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("review")).alias("n_chars"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(chars(F.col("review"))).alias("n_chars"))
     )
 
 
@@ -377,7 +378,7 @@ def sentiment_corpus_without_sentinels(spark: SparkSession, sf_dir: str) -> Data
     return (
         sentiment.sentiment_corpus(texts, strip_sentinels=("No Negative", "No Positive"))
         .groupBy("label")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("review")).alias("n_chars"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(chars(F.col("review"))).alias("n_chars"))
     )
 
 
@@ -445,7 +446,7 @@ def topic_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         topics.topic_corpus(texts)
         .groupBy(kind)
-        .agg(F.count(F.lit(1)).alias("n_texts"), F.sum(F.length("review")).alias("n_chars"))
+        .agg(F.count(F.lit(1)).alias("n_texts"), F.sum(chars(F.col("review"))).alias("n_chars"))
     )
 
 

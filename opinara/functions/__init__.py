@@ -1,4 +1,4 @@
-"""Column expressions shared by the operators (all JVM-side, no Python UDF)."""
+"""Column expressions shared by the operators (JVM-side but for the ones in ``text``, which are Arrow functions)."""
 
 from opinara.functions.bins import PRESTIGE_BINS, SCORE_BINS, Bins
 from opinara.functions.categories import first_match

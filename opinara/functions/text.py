@@ -1,15 +1,129 @@
-"""Word search in long texts."""
+"""Sizes of long texts and word search in them.
+
+Spark's own ``length``, ``lower``, ``replace`` and regular expressions go through a text character by character.  Here tasks look at the bytes of
+many texts at once, which is several times faster; the results are the same.
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-from functools import reduce
-from operator import or_
+import sys
+from collections.abc import Callable, Sequence
+from itertools import pairwise
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+BLOCK = 1 << 18  # bytes looked at at once
+BLANK = ord(" ")
+HEAD = 128  # bytes at the beginning of a text that are looked at first
+BESIDE = np.isin(np.arange(256), np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_", np.uint8))
+
+# tasks get these functions by value: executors need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts, one after the other, and where each begins, with the end of the last."""
+    texts = texts.cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    some = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if ends[-1] > ends[0] else np.zeros(0, np.uint8)
+    return some, ends - ends[0]
+
+
+def _per_text(texts: pa.Array, kind: pa.DataType, count: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> pa.Array:
+    """What ``count`` gives for each text, from the bytes of some texts at once and where each begins; null for null texts."""
+    data, ends = _bytes(texts)
+    cuts = np.unique(np.concatenate([[0, len(texts)], np.searchsorted(ends, np.arange(BLOCK, ends[-1], BLOCK))])).tolist()
+    found = [count(data[ends[a] : ends[b]], ends[a : b + 1] - ends[a]) for a, b in pairwise(cuts)]
+    return pa.array(np.concatenate(found) if found else np.zeros(0, np.int64), kind, mask=texts.is_null().to_numpy(zero_copy_only=False))
+
+
+def _marked(bytes_: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many bytes of each text are marked."""
+    return np.diff(np.searchsorted(np.flatnonzero(bytes_), ends))
+
+
+def chars(text: Column) -> Column:
+    """Characters of a text, as ``length`` counts them: all bytes but those that continue a character."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        return _per_text(texts, pa.int32(), lambda data, ends: np.diff(ends) - _marked(data.view(np.int8) < -64, ends))
+
+    return F.arrow_udf(run, "int")(text)
+
+
+def spaces(text: Column) -> Column:
+    """Number of blanks in a text."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        return _per_text(texts, pa.int32(), lambda data, ends: _marked(data == BLANK, ends))
+
+    return F.arrow_udf(run, "int")(text)
+
+
+def longer_than(text: Column, n: int) -> Column:
+    """Whether a text has more than ``n`` characters; only short texts, of four bytes a character at most, need a count."""
+    return F.when(F.octet_length(text) > 4 * n, True).otherwise(F.length(text) > n)
+
+
+def marks(text: Column, lists: Sequence[Sequence[str]], whole: bool = False) -> Column:
+    """A whole number whose bit i says whether a text has one of the words of list i, in any case, also inside a longer word.
+
+    ``whole`` leaves out words with an ASCII letter, digit or underscore beside them, which are parts of longer words for certain.
+    """
+    parts = [(1 << i, word.encode()) for i, words in enumerate(lists) for word in _checked(words)]
+
+    def search(data: np.ndarray, ends: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        lower = data | 32  # makes letters of letters only
+        found = np.zeros(len(ends) - 1, np.int64)
+        for bit, part in parts:
+            room = len(data) - len(part) + 1
+            if room < 1:
+                continue
+            places = [((data if c == BLANK else lower)[j : j + room], c) for j, c in enumerate(part)]
+            hit = places[0][0] == places[0][1]
+            if len(part) > 1:
+                hit &= places[1][0] == places[1][1]
+            at = np.flatnonzero(hit)
+            for values, c in places[2:]:
+                at = at[values[at] == c]
+            row = np.searchsorted(ends, at, "right") - 1
+            end = at + len(part)
+            inside = end <= ends[row + 1] - cut[row]
+            if whole:
+                inside &= ~((at > ends[row]) & BESIDE[data[at - 1]]) & ~((end < ends[row + 1]) & BESIDE[data[np.minimum(end, len(data) - 1)]])
+            found[row[inside]] |= bit
+        return found
+
+    def count(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        begin, size = ends[:-1], np.diff(ends)
+        found, left = np.zeros(len(size), np.int64), np.ones(len(size), bool)
+        if len(lists) == 1:  # texts with a word at their beginning need not be read to the end
+            first = [data[a : a + n] for a, n in zip(begin.tolist(), np.minimum(size, HEAD).tolist(), strict=True)]
+            found = search(np.concatenate(first), np.append(0, np.cumsum(np.minimum(size, HEAD))), (size > HEAD).astype(np.int64))
+            left = (found == 0) & (size > HEAD)
+        if left.any():
+            if not left.all():
+                data = np.concatenate([data[a : a + n] for a, n in zip(begin[left].tolist(), size[left].tolist(), strict=True)])
+                ends = np.append(0, np.cumsum(size[left]))
+            found[left] = search(data, ends, np.zeros(len(ends) - 1, np.int64))
+        return found
+
+    def run(texts: pa.Array) -> pa.Array:
+        return _per_text(texts, pa.int64(), count)
+
+    return F.arrow_udf(run, "long")(text)
+
+
+def has_part(text: Column, words: Sequence[str]) -> Column:
+    """Whether a text has one of the words, also inside a longer word, in any case."""
+    return marks(text, [words]) > 0
+
 
 def _checked(words: Sequence[str]) -> Sequence[str]:
     if not words or not all(re.fullmatch("[a-z]+( [a-z]+)*", word) for word in words):
@@ -33,16 +147,20 @@ def whole_word(words: Sequence[str]) -> str:
 
 
 def first_word(text: Column, words: Sequence[str]) -> Column:
-    """The first of the words that the text has, as it is written there, found in one pass for all words; null where there is none."""
-    return F.nullif(F.regexp_extract(text, whole_word(words), 1), F.lit(""))
+    """The first of the words that the text has, as it is written there, found in one pass for all words; null where there is none.
+
+    Only texts that have a word, as far as bytes can tell, are searched for it.
+    """
+    likely = F.when(marks(text, [words], whole=True) > 0, text)
+    return F.nullif(F.regexp_extract(likely, whole_word(words), 1), F.lit(""))
 
 
 def mentions(text: Column, words: Sequence[str], pattern: str) -> Column:
-    """The rows that match ``pattern``, a pattern that needs one of the words.
+    """The rows that match ``pattern``, ``any_part`` or ``whole_word`` of the words or one that needs one of them.
 
-    A case-blind alternation tries every word at every character of the text.
-    Plain substring search over the lowered text is several times faster and
-    misses nothing, so the pattern only confirms the few texts that pass it.
+    A case-blind alternation tries every word at every character of the text, so it only confirms the texts that have
+    a word as far as bytes can tell; ``any_part`` asks for no more.
     """
-    lowered = F.lower(text)
-    return reduce(or_, (lowered.contains(word) for word in _checked(words))) & text.rlike(pattern)
+    if pattern == any_part(words):
+        return has_part(text, words)
+    return (marks(text, [words], whole=pattern == whole_word(words)) > 0) & text.rlike(pattern)

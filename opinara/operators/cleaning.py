@@ -46,12 +46,10 @@ def judge_reviews(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Dat
 
     def missing(name: str) -> Column:
         value = F.col(name)
-        gone = value.isNull()
-        if types[name] == "string":
-            gone = gone | (value == "")
-            if not rules.na_text_stays:
-                gone = gone | (value == rules.na_token)
-        return gone
+        if types[name] != "string":
+            return value.isNull()
+        # one test that reads the value once: Spark puts its whole expression wherever a filter names it
+        return F.coalesce(value, F.lit("")).isin([""] if rules.na_text_stays else ["", rules.na_token])
 
     text_rules = [(missing(name), f"missing {name}") for name in rules.required_text]
     if MALFORMED in types:

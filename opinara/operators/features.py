@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import share
-from opinara.functions.text import any_part, mentions
+from opinara.functions.text import chars, marks
 
 # Complaint themes searched in negative texts (no word boundary).
 COMPLAINT_THEMES = {
@@ -48,7 +48,8 @@ def entity_features(
     The distinct count shuffles one pre-aggregated row per (entity, segment) and
     task; ``approximate_segments`` replaces it by a sketch for very many segments.
     """
-    pos, neg = F.length("pos_text"), F.length("neg_text")
+    pos, neg = chars(F.col("pos_text")), chars(F.col("neg_text"))
+    found = marks(F.col("neg_text"), list(themes.values()))
     score = F.col("score")
     distinct = F.approx_count_distinct if approximate_segments else F.count_distinct
     return reviews.groupBy("entity", "lat", "lng").agg(
@@ -60,7 +61,7 @@ def entity_features(
         F.avg(pos + neg).alias("mean_length"),
         distinct(F.col("segment")).alias("n_segments"),
         *(
-            share(mentions(F.col("neg_text"), words, any_part(words))).alias(name)
-            for name, words in zip(theme_columns(themes), themes.values())
+            share(found.bitwiseAND(1 << i) > 0).alias(name)
+            for i, name in enumerate(theme_columns(themes))
         ),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opinara.functions import ci95, first_match, hash_order, rated, rounded, score_stats
-from opinara.functions.text import first_word, whole_word
+from opinara.functions.text import first_word, mentions, whole_word
 
 # Words that tell of building works.
 BUILDING_WORKS = (
@@ -28,7 +28,7 @@ PLAIN_EFFECT = 0.3
 
 
 def _has_keyword(words: Sequence[str]) -> Column:
-    return F.col("neg_text").rlike(whole_word(words))
+    return mentions(F.col("neg_text"), words, whole_word(words))
 
 
 def keyword_impact(
@@ -38,7 +38,7 @@ def keyword_impact(
 
     Reviews without negative text form a third group whose flag is null.
     """
-    stats = score_stats(rated(reviews, drop_null_score), _has_keyword(words).alias("has_keyword"))
+    stats = score_stats(rated(reviews, drop_null_score).withColumn("has_keyword", _has_keyword(words)), "has_keyword")
     with_ci = stats.withColumn("ci95", ci95(F.col("std_score"), F.col("n")))
     return rounded(with_ci, 3, "mean_score", "std_score", "ci95").orderBy("has_keyword")
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import first_match, hash_order, in_fraction
+from opinara.functions.text import longer_than
 from opinara.operators.vocabulary import vocabulary
 from opinara.plans.durable import Lasting, durable
 
@@ -51,7 +52,7 @@ def sentiment_corpus(
             "review": F.concat_ws(" ", spoken("neg_text"), spoken("pos_text")),
             "label": F.when(F.col("score") >= positive_from, 1.0).otherwise(0.0),
         }
-    ).filter(F.length("review") > min_chars)
+    ).filter(longer_than(F.col("review"), min_chars))
 
 
 def sentiment_split(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions import first_match
+from opinara.functions.text import longer_than
 from opinara.operators.vocabulary import vocabulary
 from opinara.plans.durable import in_batches, release
 from opinara.plans.online_lda import TopicModel, batch_of, fit_online
@@ -44,7 +45,7 @@ class Topics:
 def topic_corpus(reviews: DataFrame, min_chars: int = 30, sentinel: str = NO_COMPLAINT) -> DataFrame:
     """Reviews with a real negative text, lower-cased into ``review``."""
     text = F.col("neg_text")
-    return reviews.filter((text != sentinel) & (F.length(text) > min_chars)).withColumn(
+    return reviews.filter((text != sentinel) & longer_than(text, min_chars)).withColumn(
         "review", F.lower(text)
     )
 
