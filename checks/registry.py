@@ -492,13 +492,15 @@ def checked_topics(found: topics.Topics, term_counts: list[int]) -> DataFrame:
 @query
 def topic_terms_of_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Term lookup and term table of a model whose word counts by topic are known: a topic for each language, the words' counts in its texts."""
-    words = topic_vocab(spark, sf_dir)
-    spelled = [row["term"] for row in words.orderBy("idx").collect()]
+    found = topic_vocab(spark, sf_dir).orderBy("idx").collect()  # vocabulary
+    spelled = [row["term"] for row in found]
+    words = spark.createDataFrame([(row["term"], row["idx"]) for row in found], "term string, idx int")
     tokens = topics.topic_tokens(topics.topic_corpus(star.document_reviews(spark, sf_dir))).where("segment is not null")
-    counted = tokens.select("segment", F.explode("tokens").alias("term")).groupBy("segment", "term").agg(F.count("*").alias("n")).join(words, "term")
-    langs = sorted(row["segment"] for row in counted.select("segment").distinct().collect())
+    counted = tokens.select("segment", F.explode("tokens").alias("term")).groupBy("segment", "term").agg(F.count("*").alias("n")).join(F.broadcast(words), "term")
+    rows = counted.select("segment", "idx", "n").collect()  # languages x vocabulary, from one pass over the texts
+    langs = sorted({row["segment"] for row in rows})
     counts = np.zeros((len(langs), len(spelled)))
-    for row in counted.select("segment", "idx", "n").collect():  # languages x vocabulary
+    for row in rows:
         counts[langs.index(row["segment"]), row["idx"]] = row["n"]
     model = TopicModel(counts, alpha=1.0, eta=1.0)
     terms = topics.topic_terms(topics.topic_table(model, spelled, top_terms=10))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,11 +51,13 @@ def topic_corpus(reviews: DataFrame, min_chars: int = 30, sentinel: str = NO_COM
 
 
 def topic_tokens(corpus: DataFrame, extra_stop_words: Sequence[str] = DOMAIN_STOP_WORDS) -> DataFrame:
-    """Words of three letters or more, without English and domain stop words, in ``tokens``."""
-    stop_words = [*StopWordsRemover.loadDefaultStopWords("english"), *extra_stop_words]
-    words = RegexTokenizer(inputCol="review", outputCol="words", pattern=WORD, gaps=False).transform(corpus)
-    remover = StopWordsRemover(inputCol="words", outputCol="tokens", stopWords=stop_words)
-    return remover.transform(words).drop("words")
+    """Words of three letters or more, without English and domain stop words, in ``tokens``.
+
+    SQL functions do it: the tokenizers of ``pyspark.ml`` turn each word into an object and back, twice.
+    """
+    stop_words = {word.lower() for word in (*StopWordsRemover.loadDefaultStopWords("english"), *extra_stop_words)}
+    words = F.regexp_extract_all(F.lower("review"), F.lit(WORD), F.lit(0))
+    return corpus.withColumn("tokens", F.filter(words, lambda word: ~word.isin(*sorted(stop_words))))
 
 
 def topic_table(model: TopicModel, words: Sequence[str], top_terms: int) -> DataFrame:

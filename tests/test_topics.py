@@ -136,3 +136,22 @@ def test_topics_do_not_depend_on_the_layout(spark, parts, coalesce):
         assert terms(planted(spark).repartition(parts)) == expected
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_languages_read_the_texts_twice_and_words_stay_in_sql(spark, frame, monkeypatch):
+    """One pass each for the vocabulary and for the counts by language; no tokenizer that makes objects of words."""
+    from checks import registry
+
+    seen = spark.sparkContext.accumulator(0)
+    rows = frame([(i, "s", "en" if i % 2 else "de", "grand wasser garden castle the Hotel " * 3) for i in range(40)], "doc_id long, entity string, segment string, neg_text string")
+    assert "UDF" not in topics.topic_tokens(topics.topic_corpus(rows))._jdf.queryExecution().optimizedPlan().toString()
+
+    def counting(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    monkeypatch.setattr(registry.star, "document_reviews", lambda *_: rows.mapInPandas(counting, rows.schema))
+    terms = registry.topic_terms_of_languages(spark, "").collect()
+    assert seen.value == 2 * 40
+    assert {r.term for r in terms} == {"grand", "wasser", "garden", "castle"}
