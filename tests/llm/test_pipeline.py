@@ -148,3 +148,16 @@ def test_no_shared_folder_on_a_cluster_is_an_error(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         durable.ready(Session())
+
+
+def test_stored_tables_leave_no_shuffles(spark, tmp_path):
+    """Shuffles of what is kept whole took more disk than the budget until the driver's memory was next tidied up; the caller's setting stays."""
+    shuffles = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    known = set(map(str, spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(shuffles.keySet())))
+    before = spark.conf.get(durable.CLEANUP, None)
+    for keep in (durable.stored, durable.written):
+        kept = keep(spark.range(1000).repartition(3).groupBy((durable.F.col("id") % 7).alias("k")).count())
+        after = set(map(str, spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(shuffles.keySet())))
+        assert after <= known and sum(r["count"] for r in kept.collect()) == 1000
+        known |= set(map(str, spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(shuffles.keySet())))
+    assert spark.conf.get(durable.CLEANUP, None) == before
