@@ -286,3 +286,55 @@ def test_rows_keep_their_columns(docs):
     out = chaining.without_passages(docs, chaining.repeated_passages(docs))
     assert out.columns == docs.columns and out.count() == docs.count()
     assert out.where(F.col("text").isNull()).count() == docs.where(F.col("text").isNull()).count()
+
+
+def test_chains_of_two_documents_travel_as_one_row(spark, docs, monkeypatch):
+    """A line that documents repeat makes a chain for each of its places; their rows grow with pairs of documents."""
+    rng = random.Random(5)
+    line, n, times = " ".join(f"w{rng.randrange(10**9)}" for _ in range(50)), 12, 8
+    rows = [(i, " ".join(f"{line} x{i}y{j} x{i}z{j}" for j in range(times))) for i in range(n)]
+    kept = []
+    monkeypatch.setattr(chaining, "stored", lambda df: kept.append(df.cache()) or kept[-1])
+    found = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    covered = {(r.doc_id, w) for r in found for w in range(r.start_word, r.start_word + r.n_words)}
+    assert all((i, 52 * j + w) in covered for i in range(1, n) for j in range(times) for w in range(50))
+    assert kept[0].count() <= 2 * (n - 1)
+
+
+def test_a_phrase_alone_asks_for_no_text(spark, docs, monkeypatch):
+    """Documents that share twelve words and no more are told apart by what the seeds carry."""
+    rng = random.Random(6)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    phrase = fresh(12)
+    rows = [(i, f"{fresh(60)} {phrase} {fresh(60)}") for i in range(40)]
+    kept = []
+    monkeypatch.setattr(chaining, "stored", lambda df: kept.append(df.cache()) or kept[-1])
+    assert chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
+    chains = sum(len(r["at"]) // 4 for r in kept[0].collect())  # two links at most of each document, one seed or more in each
+    assert chains <= 39 * 2 * 12 and sum(len(r["at"]) == 4 for r in kept[0].collect()) == 0
+
+
+@pytest.mark.parametrize("share", [0.0, 0.6, 0.8, 0.9])
+def test_no_passage_is_denied_by_what_its_seed_carries(share):
+    """Brute force over all passages through a seed, in texts that end near it too, against the bits alone."""
+    rng = np.random.default_rng(int(share * 10))
+    size, least, limit, promised = chaining.SEED_WORDS, 45, 0.8, 0
+    for _ in range(150):
+        n = int(rng.integers(45, 160))
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, n).astype(np.uint64)
+        at = int(rng.integers(0, n - size + 1))
+        same = rng.random(n) < share
+        same[at : at + size] = True
+        b = np.where(same, a, rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        total = np.concatenate([[0], np.cumsum(same)])
+        lo, hi = max(0, at - least), min(n, at + size + least)
+        real = any(j - i >= least and total[j] - total[i] >= limit * (j - i) for i in range(lo, at + 1) for j in range(at + size, hi + 1))
+        seen = []
+        for text, others in ((a, 60), (b, 70)):  # other texts of the chunk before and after
+            around = rng.integers(0, 1 << 63, 2 * others, dtype=np.uint64)
+            hashes, row = np.concatenate([around[:others], text, around[others:]]), np.repeat([0, 1, 2], [others, n, others])
+            seen.append((chaining.beside(hashes, row, np.array([others + at]), size), chaining.farther(hashes, np.array([others + at]), size)))
+        said = bool(chaining.promising(seen[0][0] ^ seen[1][0], seen[0][1] ^ seen[1][1], size, least, limit)[0])
+        assert said or not real
+        promised += said
+    assert share or promised == 0
