@@ -282,6 +282,16 @@ def test_cut_takes_words_and_keeps_the_rest():
     assert chaining.cut("a b c", [(0, 1), (0, 2)]) == "c"
 
 
+@pytest.mark.parametrize("seed", range(200))
+def test_spans_that_cover_leave_no_word_out(seed):
+    rng = random.Random(seed)
+    start = [rng.randrange(30) for _ in range(rng.randrange(9))]
+    end = [a + rng.randrange(1, 10) for a in start]
+    kept = chaining.covering(start, end)
+    held = Counter(w for i in kept for w in range(start[i], end[i]))
+    assert set(held) == {w for a, b in zip(start, end, strict=True) for w in range(a, b)} and max(held.values(), default=0) <= 2
+
+
 def test_rows_keep_their_columns(docs):
     out = chaining.without_passages(docs, chaining.repeated_passages(docs))
     assert out.columns == docs.columns and out.count() == docs.count()

@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from checks.compare import connect, difference
-from opinara.llm import durable, oracles, ranking, registry, secrets
+from opinara.llm import chaining, durable, oracles, ranking, registry, secrets
 from opinara.llm.rowkeys import REPEATED, row_keyed
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -94,6 +94,19 @@ def test_dedup_stage_cuts_by_row(spark, docs):
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in out.collect())
 
 
+def test_text_that_repeats_itself_is_cut_by_few_passages(spark, docs, monkeypatch):
+    """Words said over and over are a passage from each place; the stage needs as many as hold the words."""
+    rng = random.Random(8)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    rows = [(i, f"{fresh(30)} {'over again ' * (30 if i == 0 else 100)}{fresh(30)}") for i in range(6)]
+    df, kept, cut = clashing(spark, rows), [], corpus_pipeline.without_passages
+    monkeypatch.setattr(corpus_pipeline, "without_passages", lambda keyed, found, **more: kept.append(found.cache()) or cut(keyed, kept[0], **more))
+    out = bag(corpus_pipeline.substring_dedup(spark, df, SF_DIR))
+    assert kept[0].count() <= 5 * 2 * 200 // 45
+    every = chaining.repeated_passages(df.select("doc_id", "text"))
+    assert out == bag(cut(df, every, keep_empty=False)) and every.count() > 5 * 50
+
+
 def test_secret_stage_masks_every_row(spark, docs):
     secret = 'db_password = "Zk8vQ2xP9wLm4T7a"'
     rows = [*ROWS, (1, secret), (1, secret), (None, secret)]
