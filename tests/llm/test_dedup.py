@@ -276,6 +276,48 @@ def test_recall_where_parts_have_other_holders(spark, docs):
     assert all(counts[k] >= 54 for k in range(len(PART_KINDS)))
 
 
+def test_recall_where_the_first_and_the_last_holders_of_all_parts_are_others(spark, docs):
+    parts, pairs = held_in_parts(20)
+    rng = random.Random(78)
+    again = [[f"w{rng.randrange(10**9)}" for _ in range(10)] + p[10:-10] + [f"w{rng.randrange(10**9)}" for _ in range(10)] for p in parts]
+    rows = [*parts, *(base for _, base, _ in pairs), *again, *(other for _, _, other in pairs)]
+    step = len(pairs) + len(again)
+    df = spark.createDataFrame(list(enumerate(" ".join(r) for r in rows)), "doc_id long, text string")
+    found = {r.doc_id for r in chaining.repeated_passages(df).collect() if r.source_id == r.doc_id - step}
+    counts = Counter(kind for i, (kind, *_) in enumerate(pairs) if len(parts) + step + i in found)
+    print("found of 20:", [counts[k] for k in range(len(PART_KINDS))])
+    assert all(counts[k] >= 18 for k in range(len(PART_KINDS)))
+
+
+def test_the_many_holders_of_a_line_get_few_links():
+    """A place of a near copy leads to some others; where all words but the line differ, hardly one does."""
+    rng = np.random.default_rng(5)
+    n, width, line = 600, 100, rng.integers(0, 1 << 63, 12, dtype=np.uint64)
+    base = rng.integers(0, 1 << 63, width, dtype=np.uint64)
+    near = np.where(rng.random((n, width)) < 0.05, rng.integers(0, 1 << 63, (n, width), dtype=np.uint64), base)
+    for texts, least, most in ((near, n - 1, 20 * n), (rng.integers(0, 1 << 63, (n, width), dtype=np.uint64), 0, n // 2)):
+        texts[:, 44:56] = line
+        hashes, row, at = texts.ravel(), np.repeat(np.arange(n), width), np.arange(n) * width + 46
+        seed, size = np.zeros(n, np.int64), chaining.SEED_WORDS
+        around = chaining.beside(hashes, row, at, size), chaining.farther(hashes, at, size), chaining.farther(hashes, at, size, 12)
+        rows, to = chaining.others(seed, np.arange(n), *around, least=45, share=0.8)
+        assert (to < rows).all() and len(rows) < most and len(np.unique(rows)) >= least
+
+
+@pytest.mark.parametrize("share", [0.5, 0.7, 0.85])
+def test_no_link_is_denied_by_its_misses(share):
+    """What is ``promising`` is ``roomy``."""
+    rng = np.random.default_rng(int(share * 100))
+    hashes = rng.integers(0, 1 << 63, (2, 400, 95), dtype=np.uint64)
+    hashes[1] = np.where(rng.random((400, 95)) < share, hashes[0], hashes[1])
+    hashes[1, :, 45:50] = hashes[0, :, 45:50]
+    row, at, size = np.repeat(np.arange(400), 95), np.arange(400) * 95 + 45, chaining.SEED_WORDS
+    near, far = (np.bitwise_xor(*(f(h.ravel()) for h in hashes)) for f in (lambda h: chaining.beside(h, row, at, size), lambda h: chaining.farther(h, at, size)))
+    roomy = chaining.roomy(*chaining.misses(near, far), size, 45, 0.8)
+    assert not (chaining.promising(near, far, size, 45, 0.8) & ~roomy).any()
+    assert share > 0.6 or not roomy.all()
+
+
 def test_cut_takes_words_and_keeps_the_rest():
     assert chaining.cut("a  bé c\nd", [(1, 2)]) == "a\nd"
     assert chaining.cut("a b", [(0, 5)]) == ""
