@@ -300,7 +300,7 @@ def test_the_many_holders_of_a_line_get_few_links():
         hashes, row, at = texts.ravel(), np.repeat(np.arange(n), width), np.arange(n) * width + 46
         seed, size = np.zeros(n, np.int64), chaining.SEED_WORDS
         around = chaining.beside(hashes, row, at, size), chaining.farther(hashes, at, size), chaining.farther(hashes, at, size, 12)
-        rows, to = chaining.others(seed, np.arange(n), *around, least=45, share=0.8)
+        rows, to = chaining.others(seed, np.arange(n), *around, np.zeros(n, bool), least=45, share=0.8)
         assert (to < rows).all() and len(rows) < most and len(np.unique(rows)) >= least
 
 
