@@ -244,6 +244,42 @@ def test_classifier_learns_and_scores_all(spark, nothing, docs):
     assert ranking.quality_scores(nothing, labels).count() == 0
 
 
+def test_classifier_learns_from_all_labelled(spark, nothing):
+    ids = spark.range(34_000).withColumnRenamed("id", "doc_id").where(~ranking.held_out("doc_id"))
+    ranked = sorted(ids.select("doc_id", F.xxhash64("doc_id").alias("h")).collect(), key=lambda r: r.h)
+    assert len(ranked) > 22_000
+    good = {r.doc_id: int(i < 20_000 or i % 2) for i, r in enumerate(ranked)}  # bad ones come late, by hash
+    rows = [(i, f"lorem ipsum dolor {i} sit amet" if g else f"LOREM$$$ {i} DOLOR!!", g) for i, g in good.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(4)
+    found = ranking.quality_scores(df, df.select("doc_id", "quality"))
+    assert found.join(df, "doc_id").where("predicted <> quality").count() == 0
+    assert found.where("score = 0.5").count() == 0
+
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_classifier_fit(spark, nothing, monkeypatch, block):
+    monkeypatch.setattr(ranking, "BLOCK", block)
+    rng = np.random.default_rng(5)
+    good = rng.random(400) < 0.9
+    x = rng.normal(size=(400, 3)) + good[:, None] * [1.0, -0.5, 0.0]
+    rows = [(int(h), bool(g), *map(float, v)) for h, g, v in zip(rng.integers(-(1 << 62), 1 << 62, 400), good, x, strict=True)]
+    frame = spark.createDataFrame(rows, "row long, good boolean, a double, b double, c double").repartition(3)
+    got = ranking.fit(frame, ["a", "b", "c"])
+    assert np.allclose(got.middle, x.mean(0)) and np.allclose(got.spread, x.std(0))
+    z = (x - x.mean(0)) / x.std(0)
+    step = (z[good][:, None] - z[~good]).reshape(-1, 3)
+    slope = step.T @ (1 / (1 + np.exp(step @ got.weights))) / len(step) - 1e-3 * got.weights
+    assert np.abs(slope).max() < (1e-8 if block == 4096 else 0.01)
+    score = z @ got.weights
+    levels = np.unique(np.quantile(score, np.linspace(0, 1, 1001)))
+    cuts = (levels[1:] + levels[:-1]) / 2
+    kept = np.array([(score[good] >= c).mean() + (score[~good] < c).mean() for c in cuts])
+    best = np.flatnonzero(kept >= kept.max() - 1e-12)
+    assert np.isclose(got.threshold, cuts[best[len(best) // 2]])
+    again = ranking.fit(frame.repartition(7), ["a", "b", "c"])
+    assert all((a == b).all() for a, b in ((got.middle, again.middle), (got.weights, again.weights))) and got.threshold == again.threshold
+
+
 def test_language_model(docs, nothing):
     rows = brown.scores(docs, head_words=50, moving=20, classes=4, rounds=2).collect()
     assert len(rows) == docs.count()
