@@ -304,6 +304,61 @@ def test_the_many_holders_of_a_line_get_few_links():
         assert (to < rows).all() and len(rows) < most and len(np.unique(rows)) >= least
 
 
+def holders_of_a_line(n, planted, changed, seed=3):
+    """Word hashes of texts that share 12 words in the middle and little else; of every ``planted``-th, 50 words around these are an earlier text's, a part of them changed."""
+    rng = np.random.default_rng(seed)
+    texts = rng.integers(0, 500, (n, 100)).astype(np.uint64)
+    pairs = []
+    for k in range(n // 2, n, planted):
+        source = int(rng.integers(0, n // 2))
+        start = int(rng.integers(8, 42))
+        texts[k, start : start + 50] = np.where(rng.random(50) < changed, texts[k, start : start + 50], texts[source, start : start + 50])
+        pairs.append((k, source))
+    texts[:, 44:56] = np.arange(1000, 1012)
+    return chaining.mix(texts), pairs
+
+
+def links_of_a_line(texts, with_words):
+    n, width = texts.shape
+    hashes, row, at, size = texts.ravel(), np.repeat(np.arange(n), width), np.arange(n) * width + 46, chaining.SEED_WORDS
+    around = chaining.beside(hashes, row, at, size), chaining.farther(hashes, at, size), chaining.farther(hashes, at, size, 12)
+    wide = (np.arange(n), chaining.wider(hashes, row, at, size, np.arange(n))) if with_words else None
+    return chaining.others(np.zeros(n, np.int64), np.arange(n), *around, np.zeros(n, bool), least=45, share=0.8, wide=wide)
+
+
+@pytest.mark.parametrize("sought", [256, 1 << 17])
+def test_places_of_a_hot_seed_are_looked_up(monkeypatch, sought):
+    """By their words, the same passages are found as by comparing all."""
+    monkeypatch.setattr(chaining, "SURE", 1e-300)
+    monkeypatch.setattr(chaining, "SOUGHT", sought)
+    texts, pairs = holders_of_a_line(4000, 10, 0.1)
+    every, found = ({*zip(*(c.tolist() for c in links_of_a_line(texts, w)), strict=True)} for w in (False, True))
+    assert found <= every and len(found) < 1.1 * len(pairs)
+    real = set()
+    for i, j in every:
+        total = np.concatenate([[0], np.cumsum((texts[i] == texts[j]) - 0.8)])[6:92]  # of the words in sight; the seed's are those from 40 to 44
+        if any(total[max(a + 45, 45) :].max() - total[a] >= -1e-6 for a in range(41)):
+            real.add((i, j))
+    assert len(real) > 0.9 * len(pairs) and real <= found
+
+
+def test_links_of_a_hot_seed_grow_with_its_places():
+    counts = [len(links_of_a_line(holders_of_a_line(n, n, 0.0)[0], True)[0]) for n in (1500, 6000)]
+    assert max(counts) <= 3
+
+
+def test_hot_seeds_change_no_passage(spark, docs, monkeypatch):
+    texts, pairs = holders_of_a_line(700, 5, 0.1)
+    df = spark.createDataFrame([(i, " ".join(f"w{v:x}" for v in t.tolist())) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    before = {tuple(r) for r in chaining.repeated_passages(df).collect()}
+    monkeypatch.setattr(chaining, "HOT", 200)
+    seen = []
+    plain = chaining._send
+    monkeypatch.setattr(chaining, "_send", lambda *args: seen.append(len(args[-1])) or plain(*args))
+    assert {tuple(r) for r in chaining.repeated_passages(df).collect()} == before
+    assert seen[0] and len({r[1:3] for r in before}) >= 1 and len({r[0] for r in before} & {k for k, _ in pairs}) > 0.9 * len(pairs)
+
+
 @pytest.mark.parametrize("share", [0.5, 0.7, 0.85])
 def test_no_link_is_denied_by_its_misses(share):
     """What is ``promising`` is ``roomy``."""
