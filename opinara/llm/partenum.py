@@ -189,13 +189,18 @@ def _groups(table: pa.Table) -> pa.Table:
     )
 
 
-def shared_counts(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """Size of the intersection of one sorted set with each of others."""
-    sizes = np.array([len(x) for x in others])
-    whole = np.concatenate(others)
-    at = np.searchsorted(own, whole)
-    hit = own[np.minimum(at, len(own) - 1)] == whole
-    return np.bincount(np.repeat(np.arange(len(others)), sizes)[hit], minlength=len(others))
+class Shared:
+    """Sizes of the intersections of sets with each of ``others``, whose elements are sorted once."""
+
+    def __init__(self, others: list[np.ndarray]) -> None:
+        whole = np.concatenate([np.zeros(0, np.uint64), *others])
+        order = np.argsort(whole, kind="stable")
+        self.whole, self.owner, self.number = whole[order], np.repeat(np.arange(len(others)), [len(x) for x in others])[order], len(others)
+
+    def counts(self, own: np.ndarray) -> np.ndarray:
+        begin = np.searchsorted(self.whole, own)
+        n = np.searchsorted(self.whole, own, "right") - begin
+        return np.bincount(self.owner[np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())], minlength=self.number)
 
 
 Row = tuple[int, int, np.ndarray]  # document, label, shingles
@@ -203,11 +208,11 @@ Row = tuple[int, int, np.ndarray]  # document, label, shingles
 
 def _links(left: list[Row], right: list[Row], percent: int) -> Iterator[tuple[int, int]]:
     """Similar pairs of different labels; of each document on the left one pair for each label."""
-    sizes = np.array([len(r[2]) for r in right])
+    if not left or not right:
+        return
+    sizes, shared = np.array([len(r[2]) for r in right]), Shared([r[2] for r in right])
     for doc, label, own in left:
-        if not len(own) or not len(right):
-            continue
-        both = shared_counts(own, [r[2] for r in right])
+        both = shared.counts(own)
         met: set[int] = set()
         for j in np.flatnonzero((both > 0) & (100 * both >= percent * (len(own) + sizes - both))).tolist():
             other, its, _ = right[j]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -336,8 +337,9 @@ def test_places_of_a_hot_seed_are_looked_up(monkeypatch, sought):
     assert found <= every and len(found) < 1.1 * len(pairs)
     real = set()
     for i, j in every:
-        total = np.concatenate([[0], np.cumsum((texts[i] == texts[j]) - 0.8)])[6:92]  # of the words in sight; the seed's are those from 40 to 44
-        if any(total[max(a + 45, 45) :].max() - total[a] >= -1e-6 for a in range(41)):
+        same = (texts[i] == texts[j])[6:91]  # the words in sight; the seed's are those from 40 to 44
+        total = np.concatenate([[0], np.cumsum(same - 0.8)])
+        if any(same[a] and same[b - 1] and total[b] - total[a] >= -1e-6 for a in range(41) for b in range(a + 45, 86)):
             real.add((i, j))
     assert len(real) > 0.9 * len(pairs) and real <= found
 
@@ -359,6 +361,27 @@ def test_hot_seeds_change_no_passage(spark, docs, monkeypatch):
     assert seen[0] and len({r[1:3] for r in before}) >= 1 and len({r[0] for r in before} & {k for k, _ in pairs}) > 0.9 * len(pairs)
 
 
+def test_a_block_of_documents_is_compared_by_one_sorting():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    sets = [np.unique(np.where(rng.random(300) < rng.choice([0.02, 0.3]), rng.integers(0, 1 << 63, 300, dtype=np.uint64), base)) for _ in range(1024)]
+    rows = [(i, int(rng.integers(0, 300)), s) for i, s in enumerate([*sets[:-2], base[:0], base[:0]])]
+    left, right = rows[::2], rows[1::2]
+    began = time.process_time()
+    found = list(partenum._links(left, right, 80))
+    assert time.process_time() - began < 2
+    expected = []
+    for i, label, own in left[::16]:
+        met = {label}
+        for j, its, other in right:
+            both = len(np.intersect1d(own, other))
+            if both and 100 * both >= 80 * (len(own) + len(other) - both) and its not in met:
+                met.add(its)
+                expected.append((i, j))
+    assert expected and [p for p in found if p[0] % 32 == 0] == expected
+    assert list(partenum._links(left, [], 80)) == list(partenum._links([], right, 80)) == []
+
+
 @pytest.mark.parametrize("share", [0.5, 0.7, 0.85])
 def test_no_link_is_denied_by_its_misses(share):
     """What is ``promising`` is ``roomy``."""
